@@ -11,7 +11,7 @@ from affinity.session import parallelism
 
 SHUFFLE_ROUNDS = 8
 MERSENNE_31 = 2147483647
-DRAWS_PER_BLOCK = 4096
+DRAWS_PER_BLOCK = 65536
 
 
 def _shuffled_position(df: DataFrame, draw: str, size: str, seed: int, key: str) -> DataFrame:
