@@ -14,35 +14,35 @@ MERSENNE_31 = 2147483647
 DRAWS_PER_BLOCK = 65536
 
 
-def _shuffled_position(df: DataFrame, draw: str, size: str, seed: int, key: str) -> DataFrame:
-    """Add ``_ix``, the image of ``draw`` under a permutation of ``[0, size)`` keyed by ``key``.
+def _round_keys(seed: int, user: str, size: str) -> Column:
+    """Per-user keys of the shuffle rounds: a shift in [0, size) and a keyed linear bit."""
+    keys = []
+    for r in range(SHUFFLE_ROUNDS):
+        digest = md5_hex(seed, user, r)
+        keys.append(
+            F.struct(
+                (hex_u32(digest, 0) % F.col(size)).alias("shift"),
+                (hex_u32(digest, 1) % F.lit(MERSENNE_31 - 1) + 1).alias("mul"),
+                (hex_u32(digest, 2) % F.lit(MERSENNE_31)).alias("add"),
+            )
+        )
+    return F.array(*keys)
+
 
-    A swap-or-not shuffle: each round pairs x with (K - x) mod size and swaps the two when a
-    keyed bit of the larger one is set. Every round is a bijection for any size, so distinct
+def _shuffled(draw: str, size: str, keys: str) -> Column:
+    """The image of ``draw`` under a keyed permutation of ``[0, size)``.
+
+    A swap-or-not shuffle: each round pairs x with (shift - x) mod size and swaps the two when
+    a keyed bit of the larger one is set. Every round is a bijection for any size, so distinct
     draws give distinct positions and no de-duplication is needed.
     """
-    out = df
-    for r in range(SHUFFLE_ROUNDS):
-        digest = F.col(f"_digest_{r}")
-        out = out.withColumns(
-            {
-                f"_shift_{r}": hex_u32(digest, 0) % F.col(size),
-                f"_mul_{r}": hex_u32(digest, 1) % F.lit(MERSENNE_31 - 1) + 1,
-                f"_add_{r}": hex_u32(digest, 2) % F.lit(MERSENNE_31),
-            }
-        )
-    out = out.withColumn(draw, F.explode(F.sequence("_first", "_last")))
-    out = out.withColumn("_ix", F.col(draw))
-    for r in range(SHUFFLE_ROUNDS):
-        out = out.withColumn(
-            "_pair", (F.col(f"_shift_{r}") + F.col(size) - F.col("_ix")) % F.col(size)
-        )
-        bit = (
-            (F.col(f"_mul_{r}") * F.greatest("_ix", "_pair") + F.col(f"_add_{r}"))
-            % F.lit(MERSENNE_31)
-        ) % 2
-        out = out.withColumn("_ix", F.when(bit == 1, F.col("_pair")).otherwise(F.col("_ix")))
-    return out
+
+    def swap(x, key):
+        pair = (key["shift"] + F.col(size) - x) % F.col(size)
+        bit = ((key["mul"] * F.greatest(x, pair) + key["add"]) % F.lit(MERSENNE_31)) % 2
+        return F.when(bit == 1, pair).otherwise(x)
+
+    return F.aggregate(keys, F.col(draw), swap)
 
 
 def negative_samples(
@@ -104,10 +104,11 @@ def negative_samples(
         )
         .withColumn("_last", F.least(F.col("_first") + DRAWS_PER_BLOCK, F.col("_draws")) - 1)
         .repartition(parallelism(spark), user, "_first")
-        .withColumns({f"_digest_{r}": md5_hex(seed, user, r) for r in range(SHUFFLE_ROUNDS)})
+        .withColumn("_keys", _round_keys(seed, user, "_items"))
     )
-    drawn = _shuffled_position(blocks, "_draw", "_items", seed, user).select(
-        user, "_scope", "_wanted", "_draws", "_draw", "_ix"
+    drawn = blocks.withColumn("_draw", F.explode(F.sequence("_first", "_last"))).select(
+        user, "_scope", "_wanted", "_draws", "_draw",
+        _shuffled("_draw", "_items", "_keys").alias("_ix"),
     )
     unseen = drawn.join(shelf, "_ix").join(banned, ["_scope", item], "left_anti")
     return _first_draws(unseen, user, draws_per_task).select(
