@@ -128,28 +128,31 @@ def text_vectors(
 ) -> DataFrame:
     """Hashed bag-of-words vectors of unit length, from every token of the text.
 
-    A token adds +1 or -1 at one of ``dim`` places, both taken from its md5. The ``dim`` sums
-    are partial aggregates, so one row per text and task is shuffled, whatever its length.
-    A text without tokens has the zero vector.
+    A token adds +1 or -1 at one of ``dim`` places, both taken from its md5. The sums per
+    (text, place) are partial aggregates: at most ``dim`` rows per text are shuffled, whatever
+    its length. A text without tokens has the zero vector.
     """
-    tokens = df.select(
-        key, F.explode_outer(F.split(F.lower(text), r"\s+")).alias("_token")
-    ).select(key, "_token", F.md5("_token").alias("_digest"))
-    placed = tokens.select(
-        key,
-        F.when(F.col("_token") != "", hex_u32(F.col("_digest"), 0) % dim).alias("_place"),
-        F.when(hex_u32(F.col("_digest"), 1) % 2 == 0, 1.0).otherwise(-1.0).alias("_sign"),
-    )
-    summed = placed.groupBy(key).agg(
-        *[
-            F.sum(F.when(F.col("_place") == j, F.col("_sign")).otherwise(0.0)).alias(f"_v{j}")
-            for j in range(dim)
-        ]
+    tokens = df.select(key, F.explode_outer(F.split(F.lower(text), r"\s+")).alias("_token"))
+    hashed = tokens.select(key, "_token", F.md5("_token").alias("_digest"))
+    even = F.substring("_digest", 16, 1).isin("0", "2", "4", "6", "8", "a", "c", "e")
+    sums = (
+        hashed.select(
+            key,
+            F.when(F.col("_token") != "", hex_u32(F.col("_digest")) % dim).alias("_place"),
+            F.when(even, 1.0).otherwise(-1.0).alias("_sign"),
+        )
+        .groupBy(key, "_place")
+        .agg(F.sum("_sign").alias("_sum"))
     )
-    raw = F.array(*[f"_v{j}" for j in range(dim)])
-    return summed.select(key, raw.alias("_raw")).select(
-        key, F.coalesce(normalized("_raw"), F.col("_raw")).alias(out)
+    held = F.when(F.col("_place").isNotNull(), F.struct("_place", "_sum"))
+    raw = sums.groupBy(key).agg(F.map_from_entries(F.collect_list(held)).alias("_sums")).select(
+        key,
+        F.transform(
+            F.sequence(F.lit(0).cast("bigint"), F.lit(dim - 1).cast("bigint")),
+            lambda j: F.coalesce(F.try_element_at("_sums", j), F.lit(0.0)),
+        ).alias("_raw"),
     )
+    return raw.select(key, F.coalesce(normalized("_raw"), F.col("_raw")).alias(out))
 
 
 def embed_with(

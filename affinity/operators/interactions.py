@@ -48,7 +48,7 @@ def item_sets(
     An ordinary group is one row with ``part`` 0. A group too large for one row is spread
     over several parts by a hash of the item, so its set stays whole and no row is unbounded.
     """
-    distinct = pairs.select(group, item).distinct()
+    distinct = materialize(pairs.select(group, item).distinct(), "sets")
     hot = materialize(hot_groups(distinct, [group], rows_per_task), "hot")
     if hot.isEmpty():
         parted = distinct.withColumn("part", F.lit(0).cast("bigint"))

@@ -133,7 +133,11 @@ def _search_small(queries: DataFrame, items: DataFrame, metric: str) -> DataFram
                     )
                     yield _hits(q_ids[part], found)
 
-    return queries.select("_id", "_vec", "_need", "_floor").mapInArrow(search, HITS)
+    # scoring costs far more than moving a query, and a small query table may be one file
+    spread = queries.select("_id", "_vec", "_need", "_floor").repartition(
+        parallelism(queries.sparkSession), "_id"
+    )
+    return spread.mapInArrow(search, HITS)
 
 
 # ---- cells: exact search beyond the broadcast size --------------------------------------

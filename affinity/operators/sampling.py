@@ -9,40 +9,28 @@ from affinity.functions.hashing import TWO_32, hex_u32, md5_hex, md5_uniform
 from affinity.operators.ranking import dense_index, number_in_groups
 from affinity.session import parallelism
 
-SHUFFLE_ROUNDS = 8
+SHUFFLE_ROUNDS = (3, 5, 7, 11, 13, 17, 19, 23)  # one multiplier per round
 MERSENNE_31 = 2147483647
 DRAWS_PER_BLOCK = 65536
 
 
-def _round_keys(seed: int, user: str, size: str) -> Column:
-    """Per-user keys of the shuffle rounds: a shift in [0, size) and a keyed linear bit."""
-    keys = []
-    for r in range(SHUFFLE_ROUNDS):
-        digest = md5_hex(seed, user, r)
-        keys.append(
-            F.struct(
-                (hex_u32(digest, 0) % F.col(size)).alias("shift"),
-                (hex_u32(digest, 1) % F.lit(MERSENNE_31 - 1) + 1).alias("mul"),
-                (hex_u32(digest, 2) % F.lit(MERSENNE_31)).alias("add"),
-            )
-        )
-    return F.array(*keys)
-
-
-def _shuffled(draw: str, size: str, keys: str) -> Column:
-    """The image of ``draw`` under a keyed permutation of ``[0, size)``.
+def _shuffled(draw: str, size: str) -> Column:
+    """The image of ``draw`` under a permutation of ``[0, size)`` keyed by ``_h0`` .. ``_h3``.
 
     A swap-or-not shuffle: each round pairs x with (shift - x) mod size and swaps the two when
     a keyed bit of the larger one is set. Every round is a bijection for any size, so distinct
     draws give distinct positions and no de-duplication is needed.
     """
+    n, p = F.col(size), F.lit(MERSENNE_31)
 
-    def swap(x, key):
-        pair = (key["shift"] + F.col(size) - x) % F.col(size)
-        bit = ((key["mul"] * F.greatest(x, pair) + key["add"]) % F.lit(MERSENNE_31)) % 2
-        return F.when(bit == 1, pair).otherwise(x)
+    def swap(x, c):
+        pair = ((F.col("_h0") * c + F.col("_h1")) % p % n + n - x) % n
+        mul = (F.col("_h2") * c + F.col("_h3")) % p
+        return F.when((mul * F.greatest(x, pair) + F.col("_h0")) % p % 2 == 1, pair).otherwise(x)
 
-    return F.aggregate(keys, F.col(draw), swap)
+    rounds = F.array(*[F.lit(c).cast("bigint") for c in SHUFFLE_ROUNDS])
+    # never null; the coalesce keeps a null check (a second evaluation) out of the join
+    return F.coalesce(F.aggregate(rounds, F.col(draw), swap), F.lit(-1))
 
 
 def negative_samples(
@@ -104,11 +92,11 @@ def negative_samples(
         )
         .withColumn("_last", F.least(F.col("_first") + DRAWS_PER_BLOCK, F.col("_draws")) - 1)
         .repartition(parallelism(spark), user, "_first")
-        .withColumn("_keys", _round_keys(seed, user, "_items"))
+        .withColumn("_digest", md5_hex(seed, user))
+        .withColumns({f"_h{j}": hex_u32(F.col("_digest"), j) % MERSENNE_31 for j in range(4)})
     )
     drawn = blocks.withColumn("_draw", F.explode(F.sequence("_first", "_last"))).select(
-        user, "_scope", "_wanted", "_draws", "_draw",
-        _shuffled("_draw", "_items", "_keys").alias("_ix"),
+        user, "_scope", "_wanted", "_draws", "_draw", _shuffled("_draw", "_items").alias("_ix")
     )
     unseen = drawn.join(shelf, "_ix").join(banned, ["_scope", item], "left_anti")
     return _first_draws(unseen, user, draws_per_task).select(

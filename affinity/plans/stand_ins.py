@@ -68,7 +68,7 @@ def positives(spark, sf) -> DataFrame:
 
 
 def pairs(spark, sf) -> DataFrame:
-    pos = positives(spark, sf)
+    pos = materialize(positives(spark, sf), "positives")
     neg = sampling.negative_samples(pos, pos.select("product_id").distinct(), seed=SEED)
     return sampling.training_pairs(pos, neg)
 
@@ -127,25 +127,25 @@ def negatives_sql(per_positive: int = 1, clamp: bool = False, seed: int = SEED)
         POS,
         "cat as materialized (select product_id, row_number() over (order by product_id)-1 ix "
         "from (select distinct product_id from pos))",
-        f"want as (select user_id, {want} wanted, {want}+owned draws, n from "
-        "(select user_id, count(*) owned from pos group by 1), (select count(*) n from cat))",
-        "r0 as (select user_id, wanted, n, d, d x from (select user_id, wanted, n, "
+        f"want as (select user_id, {want} wanted, {want}+owned draws, n, "
+        + ", ".join(f"{u32(seed, 'user_id', at=j)} % 2147483647 h{j}" for j in range(4))
+        + " from (select user_id, count(*) owned from pos group by 1), "
+        "(select count(*) n from cat))",
+        "r0 as (select user_id, wanted, n, h0, h1, h2, h3, d, d x from (select *, "
         "unnest(generate_series(0, draws-1)) d from want))",
     ]
-    for r in range(sampling.SHUFFLE_ROUNDS):
-        shift = f"({u32(seed, 'user_id', r)} % n)"
-        mul = f"({u32(seed, 'user_id', r, at=1)} % 2147483646 + 1)"
-        add = f"({u32(seed, 'user_id', r, at=2)} % 2147483647)"
+    last = len(sampling.SHUFFLE_ROUNDS)
+    for r, c in enumerate(sampling.SHUFFLE_ROUNDS):
         parts.append(
-            f"r{r + 1} as (select user_id, wanted, n, d, case when (({mul}*greatest(x,p)+{add}) "
-            f"% 2147483647) % 2 = 1 then p else x end x from "
-            f"(select *, ({shift} + n - x) % n p from r{r}))"
+            f"r{r + 1} as (select user_id, wanted, n, h0, h1, h2, h3, d, case when "
+            f"(((h2*{c}+h3) % 2147483647)*greatest(x,p)+h0) % 2147483647 % 2 = 1 then p else x "
+            f"end x from (select *, ((h0*{c}+h1) % 2147483647 % n + n - x) % n p from r{r}))"
         )
     parts.append(
         "neg as materialized (select user_id, product_id from (select user_id, product_id, "
         "wanted, row_number() over (partition by user_id order by d) rn "
-        f"from r{sampling.SHUFFLE_ROUNDS} join cat on ix = x where not exists (select 1 from pos "
-        f"where pos.user_id = r{sampling.SHUFFLE_ROUNDS}.user_id and "
+        f"from r{last} join cat on ix = x where not exists (select 1 from pos "
+        f"where pos.user_id = r{last}.user_id and "
         "pos.product_id = cat.product_id)) where rn <= wanted)"
     )
     return ", ".join(parts)

@@ -16,7 +16,7 @@ from affinity.session import materialize
     f'with {S.negatives_sql()} select user_id, product_id, 0 "label" from neg',
 )
 def negative_samples(spark, sf):
-    pos = S.positives(spark, sf)
+    pos = materialize(S.positives(spark, sf), "positives")
     return sampling.negative_samples(pos, pos.select("product_id").distinct(), seed=S.SEED)
 
 
@@ -25,7 +25,7 @@ def negative_samples(spark, sf):
     f'with {S.negatives_sql(2, clamp=True)} select user_id, product_id, 0 "label" from neg',
 )
 def negatives_per_positive(spark, sf):
-    pos = S.positives(spark, sf)
+    pos = materialize(S.positives(spark, sf), "positives")
     return sampling.negative_samples(
         pos, pos.select("product_id").distinct(), seed=S.SEED, per_positive=2, clamp=True
     )
