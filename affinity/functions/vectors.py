@@ -28,13 +28,36 @@ def norm(v) -> Column:
 
 def cosine(a, b) -> Column:
     """Cosine similarity; null for a zero vector."""
-    return dot(a, b) / F.nullif(norm(a) * norm(b), F.lit(0.0))
+    return F.try_divide(dot(a, b), norm(a) * norm(b))
+
+
+def scaled_by(v, total) -> Column:
+    """``v`` divided by ``total(sum of squares, sum)``; null where that is 0.
+
+    The sums are bound once by the fold: an outer expression used inside ``transform`` would
+    be evaluated again for every element.
+    """
+    v = as_doubles(v)
+    zero = F.struct(F.lit(0.0).alias("squares"), F.lit(0.0).alias("sum"))
+
+    def add(acc, x):
+        return F.struct((acc["squares"] + x * x).alias("squares"), (acc["sum"] + x).alias("sum"))
+
+    def divide(acc):
+        by = total(acc["squares"], acc["sum"])
+        return F.when(by != 0, F.transform(v, lambda x: x / by))
+
+    return F.aggregate(v, zero, add, divide)
 
 
 def normalized(v) -> Column:
     """``v`` scaled to length one; null for a zero vector."""
-    length = F.nullif(norm(v), F.lit(0.0))
-    return F.when(length.isNotNull(), F.transform(as_doubles(v), lambda x: x / length))
+    return scaled_by(v, lambda squares, _: F.sqrt(squares))
+
+
+def shares(v) -> Column:
+    """``v`` scaled to sum one (class weights to probabilities)."""
+    return scaled_by(v, lambda _, total: total)
 
 
 def fixed_dot(a, b, dim: int) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,19 +62,16 @@ def epoch(pairs: DataFrame, state: DataFrame, dim: int, lr: float) -> DataFrame:
     ).select("r.*")
     sums = both.groupBy("side", "id").agg(
         *[F.sum(F.col("g") * F.col("other")[j]).alias(f"_g{j}") for j in range(dim)]
-    ).select("side", "id", F.array(*[f"_g{j}" for j in range(dim)]).alias("grad"))
-    mean_square = F.aggregate("grad", F.lit(0.0), lambda s, x: s + x * x) / F.lit(float(dim))
-    stepped = state.join(sums, ["side", "id"], "left").withColumn(
-        "acc", F.when(F.col("grad").isNull(), F.col("acc")).otherwise(F.col("acc") + mean_square)
     )
-    rate = F.lit(lr) / (F.sqrt("acc") + F.lit(EPSILON))
-    return stepped.select(
+    grads = [F.coalesce(f"_g{j}", F.lit(0.0)) for j in range(dim)]
+    square = reduce(lambda a, b: a + b, [g * g for g in grads]) / F.lit(float(dim))
+    acc = F.col("acc") + square
+    rate = F.lit(lr) / (F.sqrt(acc) + F.lit(EPSILON))
+    return state.join(sums, ["side", "id"], "left").select(
         "side",
         "id",
-        F.when(F.col("grad").isNull(), F.col("v"))
-        .otherwise(F.zip_with("v", "grad", lambda v, d: v - rate * d))
-        .alias("v"),
-        "acc",
+        F.array(*[F.col("v")[j] - rate * grads[j] for j in range(dim)]).alias("v"),
+        acc.alias("acc"),
     )
 
 

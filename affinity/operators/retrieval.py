@@ -64,21 +64,21 @@ def _best(scores, ids, need, floor=None):
 
     ``ids`` must rise along the columns. A negative ``need`` keeps all at or above ``floor``.
     """
-    rows, cols = [], []
     n = scores.shape[1]
-    for r in range(scores.shape[0]):
-        s = scores[r]
-        keep = np.arange(n) if floor is None else np.flatnonzero(s >= floor[r] - SLACK)
-        k = len(keep) if need[r] < 0 else min(int(need[r]), len(keep))
-        if k < len(keep):
-            cut = -np.partition(-s[keep], k - 1)[k - 1] if k else np.inf
-            keep = keep[s[keep] >= cut]
-        keep = keep[np.argsort(-s[keep], kind="stable")][:k]
-        rows.append(np.full(len(keep), r))
-        cols.append(keep)
-    rows = np.concatenate(rows) if rows else np.zeros(0, int)
-    cols = np.concatenate(cols) if cols else np.zeros(0, int)
-    return rows, ids[cols], scores[rows, cols]
+    cut = np.full(len(scores), -np.inf) if floor is None else floor - SLACK
+    for k in np.unique(need):
+        if 0 < k < n:
+            rows = np.flatnonzero(need == k)
+            part = scores if len(rows) == len(scores) else scores[rows]
+            kth = np.partition(part, n - k, axis=1)[:, n - k]
+            cut[rows] = np.maximum(cut[rows], kth)
+    rows, cols = np.nonzero(scores >= cut[:, None])
+    found = scores[rows, cols]
+    order = np.lexsort((cols, -found, rows))
+    rows, cols, found = rows[order], cols[order], found[order]
+    nth = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    keep = (need[rows] < 0) | (nth < need[rows])
+    return rows[keep], ids[cols[keep]], found[keep]
 
 
 def _hits(query_ids, found) -> pa.RecordBatch:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from affinity.functions.vectors import bce_with_logits, dot, sigmoid
+from affinity.functions.vectors import bce_with_logits, dot, shares, sigmoid
 from affinity.operators import metrics, retrieval, towers
 from affinity.plans import stand_ins as S
 from affinity.plans.registry import query
@@ -121,12 +121,7 @@ def accuracy_f1(spark, sf):
 )
 def multiclass_metrics(spark, sf):
     raw = F.transform(F.slice("embedding", 1, 10), lambda v: F.exp(v.cast("double") * 5))
-    rows = S.table(spark, sf, "embeddings").select("label", raw.alias("e")).select(
-        "label",
-        F.transform(
-            "e", lambda v: v / F.aggregate("e", F.lit(0.0), lambda s, u: s + u)
-        ).alias("probabilities"),
-    )
+    rows = S.table(spark, sf, "embeddings").select("label", shares(raw).alias("probabilities"))
     return metrics.multiclass_metrics(rows, "probabilities", "label").select(
         S.rounded("mlogloss").alias("mlogloss"), S.rounded("merror").alias("merror")
     )
