@@ -92,7 +92,7 @@ def _hits(query_ids, found) -> pa.RecordBatch:
 # ---- preparation ----------------------------------------------------------------------
 
 
-def _prepared(df: DataFrame, key: str, vector: str, metric: str) -> DataFrame:
+def prepared_vectors(df: DataFrame, key: str, vector: str, metric: str) -> DataFrame:
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
     v = normalized(vector) if metric == "cosine" else as_doubles(vector)
@@ -154,7 +154,7 @@ class Cells:
     blocks: list[int]
 
 
-def _sampled_pivots(items: DataFrame, n: int, seed: int) -> np.ndarray:
+def sampled_pivots(items: DataFrame, n: int, seed: int) -> np.ndarray:
     rows = items.orderBy(md5_hex(seed, "_id"), "_id").limit(n).select("_vec").toArrow()
     return _matrix(rows["_vec"])
 
@@ -295,7 +295,7 @@ def _search_cells(queries: DataFrame, items: DataFrame, metric: str, n_cells: in
     only cells that could still beat it are visited."""
     queries = materialize(queries, "queries")
     n_queries = queries.count()
-    cells = _cells(items, _sampled_pivots(items, n_cells, seed))
+    cells = _cells(items, sampled_pivots(items, n_cells, seed))
     counts = cells.counts
 
     def first(q, need, floor, centres, radius):
@@ -368,8 +368,8 @@ def topk(
     with the id of the query; ``seen`` (query_id, item_id) drops known pairs. The query then
     asks for as many more items as it can lose, so ``k`` remain whenever they exist.
     """
-    item_rows = materialize(_prepared(items, item_id, vector, metric), "items")
-    query_rows = _prepared(queries, query_id, vector, metric)
+    item_rows = materialize(prepared_vectors(items, item_id, vector, metric), "items")
+    query_rows = prepared_vectors(queries, query_id, vector, metric)
     extra = 1 if exclude_self else 0
     need = F.lit(k + extra).cast("bigint")
     if seen is not None:
@@ -435,7 +435,7 @@ def similar_pairs(
     ``copies_a`` and ``copies_b``: the pairs among copies follow from the counts and are not
     written out. ``mode`` is ``ordered`` (both directions) or ``unordered`` (a < b).
     """
-    rows = _prepared(items, item_id, vector, metric)
+    rows = prepared_vectors(items, item_id, vector, metric)
     vectors = materialize(
         rows.groupBy("_vec").agg(F.min("_id").alias("_id"), F.count("*").alias("_copies")),
         "vectors",
@@ -448,7 +448,7 @@ def similar_pairs(
     if small:
         hits = _search_small(asked, vectors, metric)
     else:
-        cells = _cells(vectors, _sampled_pivots(vectors, n_cells, seed))
+        cells = _cells(vectors, sampled_pivots(vectors, n_cells, seed))
         counts = cells.counts
 
         def able(q, need, floor, centres, radius):
@@ -510,7 +510,7 @@ def build_index(
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    rows = materialize(_prepared(items, item_id, vector, metric), "items")
+    rows = materialize(prepared_vectors(items, item_id, vector, metric), "items")
     model = KMeans(k=n_cells, maxIter=max_iter, seed=seed, featuresCol="_features").fit(
         rows.select(array_to_vector("_vec").alias("_features"))
     )
@@ -527,7 +527,7 @@ def search_index(
 ) -> DataFrame:
     """Top-``k`` among the items of the ``nprobe`` nearest clusters of each query."""
     metric = index.metric
-    asked = _prepared(queries, query_id, vector, metric).select(
+    asked = prepared_vectors(queries, query_id, vector, metric).select(
         "_id", "_vec", F.lit(k).cast("bigint").alias("_need"),
         F.lit(float("-inf")).alias("_floor"),
     )

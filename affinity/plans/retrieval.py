@@ -188,8 +188,8 @@ SYNCED = f"""with {VEC}, piv as materialized (select v, row_number() over (order
 
 def index_pivots(spark, sf) -> np.ndarray:
     """Centres for the small test index: a keyed sample of the vectors, fixed in number."""
-    rows = retrieval._prepared(_vectors(spark, sf, "item_id"), "item_id", "embedding", "dot")
-    return retrieval._sampled_pivots(rows, PIVOTS, 7)
+    rows = retrieval.prepared_vectors(_vectors(spark, sf, "item_id"), "item_id", "embedding", "dot")
+    return retrieval.sampled_pivots(rows, PIVOTS, 7)
 
 
 def index_snapshots(spark, sf):
@@ -207,7 +207,7 @@ def index_snapshots(spark, sf):
 def index_sync(spark, sf):
     centres = index_pivots(spark, sf)
     old, new = index_snapshots(spark, sf)
-    prepared = retrieval._prepared(old, "item_id", "embedding", "dot")
+    prepared = retrieval.prepared_vectors(old, "item_id", "embedding", "dot")
     index = retrieval.assign_cells(prepared, centres).select(
         F.col("_cell").alias("cell"), F.col("_id").alias("item_id"),
         F.col("_vec").alias("embedding"),

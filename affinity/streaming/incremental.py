@@ -33,14 +33,14 @@ def _write_batch(df: DataFrame, path: str, batch: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None):
-    """Rows of the batches written so far, or those before one batch."""
+def _stored(spark: SparkSession, path: str, schema: T.StructType, other_than: int | None = None):
+    """Rows of the batches written so far, or of those other than one batch."""
     full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
     try:
         rows = spark.read.schema(full).parquet(path)
     except AnalysisException:  # nothing written yet
         return spark.createDataFrame([], full)
-    return rows if before is None else rows.where(F.col("batch") < before)
+    return rows if other_than is None else rows.where(F.col("batch") != other_than)
 
 
 def _run(stream: DataFrame, each, checkpoint: str) -> None:
@@ -66,7 +66,7 @@ def sync_positives(pairs: DataFrame, path: str, checkpoint: str) -> None:
     """
 
     def each(batch: DataFrame, number: int) -> None:
-        known = _stored(batch.sparkSession, path, PAIRS, before=number).select(*PAIRS.names)
+        known = _stored(batch.sparkSession, path, PAIRS, other_than=number).select(*PAIRS.names)
         fresh = batch.select(*PAIRS.names).distinct().join(known, PAIRS.names, "left_anti")
         _write_batch(fresh, path, number)
 

@@ -34,13 +34,6 @@ def cell(v):
     return str(v)
 
 
-def rows(frame):
-    columns = sorted(frame.columns)
-    return columns, sorted(
-        tuple(cell(v) for v in r) for r in frame[columns].itertuples(index=False)
-    ) if len(frame) else []
-
-
 def key(row):
     return tuple("" if v is None else v for v in row)
 
