@@ -14,8 +14,22 @@ MERSENNE_31 = 2147483647
 DRAWS_PER_BLOCK = 65536
 
 
+def _round_keys(size: str) -> Column:
+    """Shift in [0, size) and multiplier of every shuffle round, from ``_h0`` .. ``_h3``."""
+    p = F.lit(MERSENNE_31)
+    return F.array(
+        *[
+            F.struct(
+                ((F.col("_h0") * c + F.col("_h1")) % p % F.col(size)).alias("shift"),
+                ((F.col("_h2") * c + F.col("_h3")) % p).alias("mul"),
+            )
+            for c in SHUFFLE_ROUNDS
+        ]
+    )
+
+
 def _shuffled(draw: str, size: str) -> Column:
-    """The image of ``draw`` under a permutation of ``[0, size)`` keyed by ``_h0`` .. ``_h3``.
+    """The image of ``draw`` under a permutation of ``[0, size)`` keyed by ``_keys``.
 
     A swap-or-not shuffle: each round pairs x with (shift - x) mod size and swaps the two when
     a keyed bit of the larger one is set. Every round is a bijection for any size, so distinct
@@ -23,14 +37,13 @@ def _shuffled(draw: str, size: str) -> Column:
     """
     n, p = F.col(size), F.lit(MERSENNE_31)
 
-    def swap(x, c):
-        pair = ((F.col("_h0") * c + F.col("_h1")) % p % n + n - x) % n
-        mul = (F.col("_h2") * c + F.col("_h3")) % p
-        return F.when((mul * F.greatest(x, pair) + F.col("_h0")) % p % 2 == 1, pair).otherwise(x)
+    def swap(x, key):
+        pair = (key["shift"] + n - x) % n
+        bit = (key["mul"] * F.greatest(x, pair) + F.col("_h0")) % p % 2
+        return F.when(bit == 1, pair).otherwise(x)
 
-    rounds = F.array(*[F.lit(c).cast("bigint") for c in SHUFFLE_ROUNDS])
     # never null; the coalesce keeps a null check (a second evaluation) out of the join
-    return F.coalesce(F.aggregate(rounds, F.col(draw), swap), F.lit(-1))
+    return F.coalesce(F.aggregate("_keys", F.col(draw), swap), F.lit(-1))
 
 
 def negative_samples(
@@ -94,6 +107,7 @@ def negative_samples(
         .repartition(parallelism(spark), user, "_first")
         .withColumn("_digest", md5_hex(seed, user))
         .withColumns({f"_h{j}": hex_u32(F.col("_digest"), j) % MERSENNE_31 for j in range(4)})
+        .withColumn("_keys", _round_keys("_items"))
     )
     drawn = blocks.withColumn("_draw", F.explode(F.sequence("_first", "_last"))).select(
         user, "_scope", "_wanted", "_draws", "_draw", _shuffled("_draw", "_items").alias("_ix")

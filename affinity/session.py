@@ -66,6 +66,13 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what ``materialize`` wrote for this application; frames read from it are dead."""
+    app = spark.sparkContext.applicationId
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/affinity/{app}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def parallelism(spark: SparkSession) -> int:
     """Task count for work that grows after a small shuffle (exploded draws, packed blocks)."""
     return max(
