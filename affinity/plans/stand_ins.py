@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.operators import features, interactions, sampling, towers
+from affinity.operators import interactions, sampling, towers
 from affinity.session import materialize
 
 SEED = 42

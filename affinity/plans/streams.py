@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from affinity.functions.vectors import sigmoid
 from affinity.operators import towers
 from affinity.plans import retrieval as R
 from affinity.plans import stand_ins as S

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from affinity.operators import checks, features, interactions, sampling
-from affinity.operators.metrics import mean_bce
 from affinity.plans import stand_ins as S
 from affinity.plans.registry import query
 from affinity.session import materialize
