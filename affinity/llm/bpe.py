@@ -37,7 +37,7 @@ from tokenizers.pre_tokenizers import Split
 
 from affinity.llm.text import slices
 
-KEPT_WORDS = 150_000
+KEPT_WORDS = 300_000
 IN_STEP = 48  # longer words are read one by one
 END = "</w>"
 NONE = -1
@@ -96,8 +96,30 @@ class Automaton:
                 symbols[-1] += last
                 entries[self.key(symbols)] = i
         self.entries, self.seen = entries, {}
-        keys = np.array(sorted(entries), dtype=np.uint64)
-        self.keys, self.ids = keys, np.array([entries[int(k)] for k in keys], dtype=np.int64)
+        # a table with open places: an entry lies at its own place or one of the next few
+        self.slots = 1 << (8 * max(1, len(entries))).bit_length()
+        self.keys, self.ids = np.zeros(self.slots, dtype=np.uint64), np.full(self.slots, NONE, dtype=np.int64)
+        for key, i in entries.items():
+            at = self._slot(key)
+            while self.ids[at] != NONE:
+                at = (at + 1) & (self.slots - 1)
+            self.keys[at], self.ids[at] = key, i
+
+    def _slot(self, key: int) -> int:
+        return ((key * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF) >> (65 - self.slots.bit_length())
+
+    def _lookup(self, key: np.ndarray) -> np.ndarray:
+        """The token with each key, else none."""
+        at = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - self.slots.bit_length())).astype(np.int64)
+        ids, same = self.ids[at], self.keys[at] == key
+        out = np.where(same, ids, NONE)
+        more = np.flatnonzero(~same & (ids != NONE))
+        while len(more):
+            at[more] = (at[more] + 1) & (self.slots - 1)
+            ids, same = self.ids[at[more]], self.keys[at[more]] == key[more]
+            out[more] = np.where(same, ids, NONE)
+            more = more[~same & (ids != NONE)]
+        return out
 
     @staticmethod
     def key(symbols) -> int:
@@ -185,8 +207,7 @@ class Automaton:
             for k in range(reach):
                 key = key + symbols[p - k, :live] * np.uint64(power)
                 power = (power * 0x100000001B3) & 0xFFFFFFFFFFFFFFFF
-                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                tokens[k] = np.where(self.keys[at] == key, self.ids[at], NONE)
+                tokens[k] = self._lookup(key)
             for k in range(reach - 1, -1, -1):
                 open_ = np.flatnonzero((last[p, :live] == NONE) & (tokens[k] != NONE))
                 if k < p:
@@ -196,22 +217,31 @@ class Automaton:
                     fits = self.arcs(before, tokens[k, open_])
                     open_ = open_[fits]
                 last[p, open_] = tokens[k, open_]
+        # back from the end of each word, all words in step
+        steps, at = [], size.astype(np.int64) - 1
+        live = np.arange(count)
+        while len(live):
+            token = last[at[live], live]
+            steps.append((live, token))
+            at[live] -= self.length[token]
+            live = live[at[live] >= 0]
+        owner = np.concatenate([x for x, _ in steps[::-1]])
+        order_ = np.argsort(owner, kind="stable")
+        tokens = np.concatenate([t for _, t in steps[::-1]])[order_].tolist()
+        ends = np.cumsum(np.bincount(owner, minlength=count)).tolist()
         out: list = [None] * count
-        for j, i in enumerate(order):
-            p, ids = int(size[j]) - 1, []
-            while p >= 0:
-                token = int(last[p, j])
-                ids.append(token)
-                p -= int(self.length[token])
-            out[i] = ids[::-1]
+        begin = 0
+        for i, end in zip(order.tolist(), ends):
+            out[i] = tokens[begin:end]
+            begin = end
         return out
 
 
-@lru_cache(maxsize=2)
-def _class(general: str) -> str:
+@lru_cache(maxsize=4)
+def _class(general: str, end: int = sys.maxunicode + 1) -> str:
     """All code points of a general category, as ranges for a character class of ``re``. The Unicode
     tables are those of the library that defines the vocabulary format, not the running Python's."""
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
+    every = "".join(map(chr, [c for c in range(end) if not 0xD800 <= c < 0xE000]))
     runs = Split(Regex(rf"\p{{{general}}}+"), "removed", invert=True).pre_tokenize_str(every)
     return "".join(f"\\U{ord(r[0]):08x}-\\U{ord(r[-1]):08x}" for r, _ in runs)
 
@@ -226,20 +256,30 @@ class Tokenizer:
         self.automaton = Automaton(model["vocab"], merges, model["end_of_word_suffix"])
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.labels = dict(enumerate(self.automaton.labels)) | {i: c for c, i in self.added.items()}
-        letters, numbers = _class("L"), _class("N")
-        self.split = re.compile(f"{CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{WHITE}{letters}{numbers}]+")
+        # contractions start with no letter, so words may be tried first
+        pattern = "[{0}]+|{2}|[{1}]|[^{3}{0}{1}]+"
+        self.split = re.compile(pattern.format(_class("L"), _class("N"), CONTRACTIONS, WHITE))
+        self.split_latin = re.compile(pattern.format(_class("L", 256), _class("N", 256), CONTRACTIONS, WHITE[:WHITE.index("\\xa0") + 4]))
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.known: dict[str, list[int]] = {}
 
     def words(self, text: str) -> list[str]:
         """The pieces of a text; an added token's string stands for itself."""
         if not self.cut or not self.cut.search(text):
-            return self.split.findall(self._normal(text))
+            return self._pieces(text)
         out = []
         for part in self.cut.split(text):
-            out += [part] if part in self.added else self.split.findall(self._normal(part))
+            out += [part] if part in self.added else self._pieces(part)
         return out
 
+    def _pieces(self, text: str) -> list[str]:
+        text = self._normal(text)
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.split.findall(text)
+        return self.split_latin.findall(text)
+
     @staticmethod
     def _normal(text: str) -> str:
         text = unicodedata.normalize("NFC", text)

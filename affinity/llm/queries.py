@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from affinity.llm import quality_rules, url_filter
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from affinity.llm import bpe, language_id, license_scan, quality_rules, url_filter
 from affinity.llm.text import table
 from affinity.plans.registry import query
 
@@ -16,3 +19,25 @@ def op8(spark, sf):
 def op9(spark, sf):
     judged = quality_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
     return judged.drop("n_lines")
+
+
+@query("op2_license_scan")
+def op2(spark, sf):
+    return license_scan.scan(table(spark, sf, "documents"))
+
+
+@query("op5_language_id")
+def op5(spark, sf):
+    return language_id.identify(table(spark, sf, "documents"))
+
+
+@query("op6_bpe")
+def op6(spark, sf, vocabulary=None):
+    vocabulary = vocabulary or public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe.encode_decode(table(spark, sf, "documents"), vocabulary)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
