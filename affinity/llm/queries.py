@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from affinity.llm import bpe, language_id, license_scan, quality_rules, url_filter
+from affinity.llm import bpe, jaccard_join, language_id, license_scan, quality_rules, url_filter
 from affinity.llm.text import table
 from affinity.plans.registry import query
 
@@ -41,3 +41,8 @@ def op6(spark, sf, vocabulary=None):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op10_jaccard_join")
+def op10(spark, sf):
+    return jaccard_join.join(table(spark, sf, "documents"), n=3, num=90, den=100)

@@ -102,7 +102,9 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     import pyarrow.compute as pc
 
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    column = pc.binary_join_element_wise(pc.fill_null(column.cast(pa.large_string()), ""), "", "\n")
+    large = pa.large_string()
+    column = pc.fill_null(column.cast(large), "")
+    column = pc.binary_join_element_wise(column, pa.scalar("", large), pa.scalar("\n", large))
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     if not len(column) or column.buffers()[2] is None:
         return np.zeros(0, dtype=np.uint8), np.zeros(len(column) + 1, dtype=np.int64)
