@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from affinity.llm import bpe, jaccard_join, language_id, license_scan, quality_rules, url_filter
+from affinity.llm import (
+    bpe, decontaminate, jaccard_join, language_id, license_scan, lm_scoring, quality_rules, secret_scan, url_filter,
+)
 from affinity.llm.text import table
 from affinity.plans.registry import query
 
@@ -46,3 +48,19 @@ def op6(spark, sf, vocabulary=None):
 @query("op10_jaccard_join")
 def op10(spark, sf):
     return jaccard_join.join(table(spark, sf, "documents"), n=3, num=90, den=100)
+
+
+@query("op7_decontaminate")
+def op7(spark, sf):
+    return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op3_secret_scan")
+def op3(spark, sf):
+    return secret_scan.findings(table(spark, sf, "documents"))
+
+
+@query("op4_lm_scoring")
+def op4(spark, sf):
+    target = table(spark, sf, "conversations").where("role = 'assistant'").select("text")
+    return lm_scoring.cross_entropy_difference(table(spark, sf, "documents"), target)
