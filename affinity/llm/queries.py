@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from affinity.llm import (
-    bpe, decontaminate, jaccard_join, language_id, license_scan, lm_scoring, quality_rules, secret_scan, url_filter,
+    bpe, decontaminate, jaccard_join, language_id, license_scan, lm_scoring, quality_rules, secret_scan, suffix_dedup,
+    url_filter,
 )
 from affinity.llm.text import table
 from affinity.plans.registry import query
@@ -64,3 +65,9 @@ def op3(spark, sf):
 def op4(spark, sf):
     target = table(spark, sf, "conversations").where("role = 'assistant'").select("text")
     return lm_scoring.cross_entropy_difference(table(spark, sf, "documents"), target)
+
+
+@query("op1_suffix_dedup")
+def op1(spark, sf):
+    out = suffix_dedup.dedup(table(spark, sf, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
