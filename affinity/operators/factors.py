@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from affinity.functions.hashing import md5_uniform
 from affinity.functions.vectors import bce_with_logits, fixed_dot, sigmoid
 from affinity.operators.metrics import auroc
+from affinity.operators.ranking import dense_index
 from affinity.session import materialize
 
 EPSILON = 1e-8
@@ -175,15 +176,23 @@ def als_factors(pairs: DataFrame, rank: int = 8, iterations: int = 3, seed: int
     """Implicit-feedback alternating least squares: (side, id, embedding)."""
     from pyspark.ml.recommendation import ALS
 
+    # the library takes ids within an int, so it gets dense positions of any ids
+    sides = {"user": "user_id", "item": "product_id"}
+    index = {
+        c: materialize(dense_index(pairs.select(c).distinct(), [c], f"_{c}"), "als-ids")
+        for c in sides.values()
+    }
+    indexed = pairs.join(index["user_id"], "user_id").join(index["product_id"], "product_id")
     model = ALS(
         rank=rank, maxIter=iterations, implicitPrefs=True, seed=seed,
-        userCol="user_id", itemCol="product_id", ratingCol="label",
-    ).fit(pairs.select(*[F.col(c).cast("int") for c in ("user_id", "product_id")],
-                       F.col("label").cast("float")))
-    return model.userFactors.select(
-        F.lit("user").alias("side"), "id", F.col("features").alias("embedding")
-    ).unionByName(
-        model.itemFactors.select(
-            F.lit("item").alias("side"), "id", F.col("features").alias("embedding")
+        userCol="_user_id", itemCol="_product_id", ratingCol="label",
+    ).fit(indexed.select(*[F.col(f"_{c}").cast("int") for c in sides.values()],
+                         F.col("label").cast("float")))
+    found = {"user": model.userFactors, "item": model.itemFactors}
+    user, item = (
+        found[side].join(index[c], F.col("id") == F.col(f"_{c}")).select(
+            F.lit(side).alias("side"), F.col(c).alias("id"), F.col("features").alias("embedding")
         )
+        for side, c in sides.items()
     )
+    return user.unionByName(item)

@@ -62,7 +62,9 @@ def categories(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> list:
 
 
 def one_hot(column: str, values: list) -> Column:
-    return F.array(*[(F.col(column) == F.lit(v)).cast("double") for v in values])
+    """A 0/1 element for each value; a null category is all zeros."""
+    same = [F.coalesce(F.col(column) == F.lit(v), F.lit(False)) for v in values]
+    return F.array(*[x.cast("double") for x in same])
 
 
 def standard_scaled(df: DataFrame, columns: list[str]) -> dict[str, Column]:

@@ -39,7 +39,8 @@ def _by_score(df: DataFrame, keys: list[str], score: str, label: str) -> DataFra
 
 def _area(below: Column) -> Column:
     won = F.sum(F.col("pos") * (below + F.col("neg") / 2.0))
-    return won / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0)).cast("double")
+    # the product of two counts may pass the range of a bigint
+    return won / F.nullif(F.sum("pos").cast("double") * F.sum("neg").cast("double"), F.lit(0.0))
 
 
 def auroc(df: DataFrame, score: str, label: str) -> DataFrame:

@@ -38,6 +38,9 @@ def _matrix(column) -> np.ndarray:
         column = column.combine_chunks()
     if len(column) == 0:
         return np.zeros((0, 0))
+    widths = np.diff(column.offsets.to_numpy())
+    if widths.min() != widths.max():
+        raise ValueError(f"vectors of {widths.min()} and of {widths.max()} elements in one table")
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1)
 
@@ -93,9 +96,17 @@ def _hits(query_ids, found) -> pa.RecordBatch:
 
 
 def prepared_vectors(df: DataFrame, key: str, vector: str, metric: str) -> DataFrame:
+    """``_id`` and ``_vec``, in unit length for cosine.
+
+    Null vectors, and zero vectors under cosine, have no score with anything and are left out. A
+    vector with a null, NaN or infinite element is an error that names its id.
+    """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
-    v = normalized(vector) if metric == "cosine" else as_doubles(vector)
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    wrong = F.concat(F.lit("null, NaN or infinite element in the vector of "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+    checked = F.when(~F.forall(as_doubles(vector), finite), F.raise_error(wrong))
+    v = F.coalesce(checked, normalized(vector) if metric == "cosine" else as_doubles(vector))
     out = df.select(F.col(key).cast("bigint").alias("_id"), v.alias("_vec"))
     return out.where(F.col("_vec").isNotNull())
 
@@ -432,9 +443,12 @@ def similar_pairs(
     """All pairs of distinct vectors that score ``threshold`` or more, exact.
 
     Items with one and the same vector are one entry, named by the lowest id and counted in
-    ``copies_a`` and ``copies_b``: the pairs among copies follow from the counts and are not
-    written out. ``mode`` is ``ordered`` (both directions) or ``unordered`` (a < b).
+    ``copies_a`` and ``copies_b``; ``vector_members`` lists them, and ``expand_pairs`` writes all
+    pairs out. ``mode`` is ``ordered`` (both directions) or ``unordered`` (a < b). The result grows
+    with the pairs that reach the threshold: a low one asks for all pairs.
     """
+    if mode not in ("ordered", "unordered"):
+        raise ValueError("mode must be ordered or unordered")
     rows = prepared_vectors(items, item_id, vector, metric)
     vectors = materialize(
         rows.groupBy("_vec").agg(F.min("_id").alias("_id"), F.count("*").alias("_copies")),
@@ -472,6 +486,31 @@ def similar_pairs(
     )
 
 
+def vector_members(
+    items: DataFrame, metric: str = "cosine", item_id: str = "item_id", vector: str = "embedding"
+) -> DataFrame:
+    """The items behind each entry of ``similar_pairs``: entry id (the lowest of them) and item id."""
+    rows = prepared_vectors(items, item_id, vector, metric)
+    entries = rows.groupBy("_vec").agg(F.min("_id").alias("_entry"))
+    return rows.join(entries, "_vec").select(
+        F.col("_entry").alias(f"{item_id}_entry"), F.col("_id").alias(item_id)
+    )
+
+
+def expand_pairs(pairs: DataFrame, members: DataFrame, item_id: str = "item_id") -> DataFrame:
+    """All pairs of items, those of one and the same vector (score 1 under cosine) among them."""
+    entry = f"{item_id}_entry"
+    side = lambda s: members.toDF(f"{item_id}_{s}", f"_{s}")
+    across = (
+        pairs.join(side("a"), f"{item_id}_a").join(side("b"), f"{item_id}_b")
+        .select(F.col("_a").alias(f"{item_id}_a"), F.col("_b").alias(f"{item_id}_b"), "similarity_score")
+    )
+    within = members.toDF(entry, f"{item_id}_a").join(members.toDF(entry, f"{item_id}_b"), entry).where(
+        F.col(f"{item_id}_a") != F.col(f"{item_id}_b")
+    )
+    return across.union(within.select(f"{item_id}_a", f"{item_id}_b", F.lit(1.0)))
+
+
 def as_arrays(hits: DataFrame, query_id: str = "query_id", item_id: str = "item_id") -> DataFrame:
     """One row per query: item ids and scores as arrays in rank order."""
     rows = F.array_sort(F.collect_list(F.struct("rank", item_id, "score")))
@@ -544,15 +583,19 @@ def search_index(
     )
 
 
-def sync_index(index: DataFrame, changes: DataFrame, centres: np.ndarray) -> DataFrame:
+def sync_index(
+    index: DataFrame, changes: DataFrame, centres: np.ndarray, metric: str = "dot"
+) -> DataFrame:
     """An index table (cell, item_id, embedding) brought up to date with row changes.
 
-    Only changed ids are assigned to cells again; the others are carried over.
+    Only changed ids are assigned to cells again; the others are carried over. New vectors are
+    prepared as the index's ``metric`` asks, so those of a cosine index have unit length.
     """
     touched = changes.select("item_id").distinct()
     fresh = assign_cells(
-        changes.where(F.col("change_type").isin("insert", "update_postimage")).select(
-            F.col("item_id").alias("_id"), as_doubles("embedding").alias("_vec")
+        prepared_vectors(
+            changes.where(F.col("change_type").isin("insert", "update_postimage")),
+            "item_id", "embedding", metric,
         ),
         centres,
     ).select(

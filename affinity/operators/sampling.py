@@ -65,24 +65,26 @@ def negative_samples(
     so the rows that survive the anti-join always suffice and the first ``wanted`` are kept.
     The work is linear in the positives, also for users that own most of the catalogue.
 
-    A user that wants more items than it does not own raises, or takes all of them with
-    ``clamp``. ``exclude="bucket"`` rejects the items that are positive for any user in the
+    Positives outside the catalogue count for the number of negatives but ban nothing. A user
+    that wants more items than it does not own raises, or takes all of them with ``clamp``. ``exclude="bucket"`` rejects the items that are positive for any user in the
     same hash bucket of users instead of only those of the user.
     """
     spark = pairs.sparkSession
     shelf = dense_index(catalogue.select(item), [item], "_ix")
     n_items = shelf.agg(F.count("*").alias("n")).scalar()
 
+    inside = pairs.join(catalogue.select(item), item, "left_semi")
     owned = pairs.groupBy(user).agg(F.count("*").alias("_owned"))
     if exclude == "bucket":
         bucket = F.pmod(F.conv(F.substring(md5_hex(seed, user), 1, 8), 16, 10).cast("bigint"),
                         F.lit(buckets)).alias("_scope")
-        banned = pairs.select(bucket, item).distinct()
-        banned_counts = banned.groupBy("_scope").agg(F.count("*").alias("_banned"))
-        owned = owned.select("*", bucket).join(banned_counts, "_scope")
+        banned = inside.select(bucket, item).distinct()
+        owned = owned.select("*", bucket)
     else:
-        banned = pairs.select(F.col(user).alias("_scope"), item)
-        owned = owned.withColumns({"_scope": F.col(user), "_banned": F.col("_owned")})
+        banned = inside.select(F.col(user).alias("_scope"), item)
+        owned = owned.withColumn("_scope", F.col(user))
+    banned_counts = banned.groupBy("_scope").agg(F.count("*").alias("_banned"))
+    owned = owned.join(banned_counts, "_scope", "left").fillna(0, ["_banned"])
 
     wanted = F.col("_owned") * per_positive
     free = F.col("_items") - F.col("_banned")

@@ -198,3 +198,31 @@ def mrr(spark, sf):
     hits, truth = predictions(spark, sf, 100)
     rr = metrics.reciprocal_rank(hits, truth, "user_id", "product_id")
     return rr.select("user_id", S.rounded("rr").alias("rr"))
+
+
+@query(
+    "mean_retrieval",
+    f"""with {predictions_sql(25)},
+      got as (select user_id, count(*) retrieved from pred group by 1),
+      h as (select user_id, count(*) hits, sum(1/log2("rank"+1)) dcg from hit group by 1),
+      ideal as (select n, sum(1/log2(n+1)) over (order by n) best from generate_series(1,25) g(n))
+      select {S.r6('avg(coalesce(hits,0)/retrieved::double)')} mean_precision_at_k,
+        {S.r6('avg(coalesce(hits,0)/relevant::double)')} mean_recall_at_k,
+        {S.r6('avg(coalesce(dcg,0)/best)')} mean_ndcg_at_k
+      from users join got using (user_id) left join h using (user_id)
+      join ideal on n = least(relevant, 25)""",
+)
+def mean_retrieval(spark, sf):
+    hits, truth = predictions(spark, sf, 25)
+    means = metrics.mean_metrics(metrics.retrieval_metrics(hits, truth, 25, "user_id", "product_id"))
+    return means.select(*[S.rounded(c).alias(c) for c in means.columns])
+
+
+@query(
+    "binary_log_metrics",
+    f"""with {EVENTS} select {S.r6(f'avg({BCE_P})')} logloss,
+      {S.r6('avg(((p > 0.5)::integer <> y)::integer)')} error from ev""",
+)
+def binary_log_metrics(spark, sf):
+    found = metrics.binary_log_metrics(_events(spark, sf), "p", "y")
+    return found.select(*[S.rounded(c).alias(c) for c in ("logloss", "error")])

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from affinity.session import ship_package
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -18,7 +21,12 @@ def query(name: str, sql: str | None = None):
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = fn
+
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str, *args, **kwargs) -> DataFrame:
+            return fn(ship_package(spark), sf_dir, *args, **kwargs)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

@@ -216,11 +216,11 @@ def cardinalities(spark, sf):
 @query(
     "first_n_interactions",
     f"""with {S.POS} select user_id, product_id from pos
-      order by user_id, product_id limit 100000""",
+      order by user_id, product_id limit 5000""",
 )
 def first_n_interactions(spark, sf):
     return interactions.first_interactions(
-        S.positives(spark, sf).drop("label"), 100_000, ["user_id", "product_id"]
+        S.positives(spark, sf).drop("label"), 5_000, ["user_id", "product_id"]
     )
 
 

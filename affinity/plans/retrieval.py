@@ -83,6 +83,16 @@ def pairwise_similarity(spark, sf):
     return pairs.withColumn("similarity_score", F.col("similarity_score") + F.lit(0.0))
 
 
+@query(
+    "pairwise_members",
+    """select min(vec_id) over (partition by embedding) item_id_entry, vec_id item_id
+      from embeddings""",
+)
+def pairwise_members(spark, sf):
+    """The items behind the entries of ``pairwise_similarity``."""
+    return retrieval.vector_members(_vectors(spark, sf, "item_id"), "cosine")
+
+
 @query(
     "topk_exact",
     f"""with {VEC} select query_id, item_id, score+0.0::double score, "rank" from

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: dict[str, str] = {}
+_shipped: set[str] = set()  # applications whose executors have the package
 
 
 def get_session(app: str = "affinity", master: str | None = None, **conf) -> SparkSession:
@@ -23,7 +26,23 @@ def get_session(app: str = "affinity", master: str | None = None, **conf) -> Spa
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), str(value))
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Give the executors this package, so that its kernels load wherever the driver was started."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        target = os.path.join(tempfile.mkdtemp(prefix="affinity-"), "affinity.zip")
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+            for folder, _, names in os.walk(package):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    file = os.path.join(folder, name)
+                    out.write(file, os.path.relpath(file, os.path.dirname(package)))
+        spark.sparkContext.addPyFile(target)
+        _shipped.add(app)
+    return spark
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -1,20 +1,22 @@
 """Incremental jobs over growing file tables, each run to the end of its input and stopped.
 
-Sinks are folders with one ``batch=N`` directory per micro-batch. A replayed batch overwrites
-its own directory, so a restart leaves the table as it was; a trigger writes only what is new
-and readers merge by key.
+Sinks are folders with one ``stream=S/batch=N`` directory per micro-batch, S being a name that is
+kept with the checkpoint. A replayed batch overwrites its own directory, so a restart leaves the
+table as it was, and a stream with another checkpoint never touches what is stored; a trigger
+writes only what is new and readers merge by key.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from affinity.functions.vectors import as_doubles
-from affinity.operators.retrieval import assign_cells
+from affinity.operators.retrieval import assign_cells, prepared_vectors
 
 
 def file_stream(
@@ -29,18 +31,40 @@ def file_stream(
     return reader.parquet(folder)
 
 
-def _write_batch(df: DataFrame, path: str, batch: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+def _read(reader, path: str):
+    """What is stored at ``path``, or None when nothing is; any other failure is raised."""
+    try:
+        return reader.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
 
+def _stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the stream that a checkpoint belongs to, given when it is first used."""
+    path = f"{checkpoint}/stream-name"
+    known = _read(spark.read, path)
+    if known is None:
+        spark.createDataFrame([(uuid.uuid4().hex,)], "name string").coalesce(1).write.parquet(path)
+        known = spark.read.parquet(path)
+    return known.first()["name"]
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType, other_than: int | None = None):
-    """Rows of the batches written so far, or of those other than one batch."""
-    full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    try:
-        rows = spark.read.schema(full).parquet(path)
-    except AnalysisException:  # nothing written yet
+
+def _write_batch(df: DataFrame, path: str, stream: str, batch: int) -> None:
+    df.write.mode("overwrite").parquet(f"{path}/stream={stream}/batch={batch}")
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType, other_than=None):
+    """Rows of the batches written so far, or of those other than one (stream, batch)."""
+    place = [T.StructField("stream", T.StringType()), T.StructField("batch", T.LongType())]
+    full = T.StructType([*schema.fields, *place])
+    rows = _read(spark.read.schema(full), path)
+    if rows is None:
         return spark.createDataFrame([], full)
-    return rows if other_than is None else rows.where(F.col("batch") != other_than)
+    if other_than is None:
+        return rows
+    return rows.where((F.col("stream") != other_than[0]) | (F.col("batch") != other_than[1]))
 
 
 def _run(stream: DataFrame, each, checkpoint: str) -> None:
@@ -65,10 +89,12 @@ def sync_positives(pairs: DataFrame, path: str, checkpoint: str) -> None:
     trigger reads the stored pairs once for its anti-join.
     """
 
+    name = _stream_name(pairs.sparkSession, checkpoint)
+
     def each(batch: DataFrame, number: int) -> None:
-        known = _stored(batch.sparkSession, path, PAIRS, other_than=number).select(*PAIRS.names)
+        known = _stored(batch.sparkSession, path, PAIRS, (name, number)).select(*PAIRS.names)
         fresh = batch.select(*PAIRS.names).distinct().join(known, PAIRS.names, "left_anti")
-        _write_batch(fresh, path, number)
+        _write_batch(fresh, path, name, number)
 
     _run(pairs, each, checkpoint)
 
@@ -88,12 +114,15 @@ ENTRIES = T.StructType(
 )
 
 
-def sync_index(changes: DataFrame, centres: np.ndarray, path: str, checkpoint: str) -> None:
+def sync_index(
+    changes: DataFrame, centres: np.ndarray, path: str, checkpoint: str, metric: str = "dot"
+) -> None:
     """Append index entries for a stream of row changes.
 
     ``changes`` has item_id, embedding, change_type and ``seq``, the order of the changes of
-    one id. Only changed ids are assigned to cells.
+    one id. Only changed ids are assigned to cells; vectors are prepared as ``metric`` asks.
     """
+    name = _stream_name(changes.sparkSession, checkpoint)
 
     def each(batch: DataFrame, number: int) -> None:
         last = (
@@ -103,7 +132,7 @@ def sync_index(changes: DataFrame, centres: np.ndarray, path: str, checkpoint: s
             .select(F.col("item_id").alias("_id"), "_c.*")
         )
         live = last.where("change_type <> 'delete'")
-        cells = assign_cells(live.select("_id", as_doubles("embedding").alias("_vec")), centres)
+        cells = assign_cells(prepared_vectors(live, "_id", "embedding", metric), centres)
         upserts = cells.join(live.select("_id", "seq"), "_id").select(
             F.col("_id").alias("item_id"), F.col("_cell").alias("cell"),
             F.col("_vec").alias("embedding"), F.lit(False).alias("deleted"), "seq",
@@ -113,7 +142,7 @@ def sync_index(changes: DataFrame, centres: np.ndarray, path: str, checkpoint: s
             F.lit(None).cast("array<double>").alias("embedding"),
             F.lit(True).alias("deleted"), "seq",
         )
-        _write_batch(upserts.unionByName(deletes), path, number)
+        _write_batch(upserts.unionByName(deletes), path, name, number)
 
     _run(changes, each, checkpoint)
 
@@ -121,7 +150,7 @@ def sync_index(changes: DataFrame, centres: np.ndarray, path: str, checkpoint: s
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """Current index entries: the last one of each id, unless it is a delete."""
     rows = _stored(spark, path, ENTRIES)
-    entry = F.struct("seq", "batch", "cell", "embedding", "deleted")
+    entry = F.struct("seq", "batch", "stream", "cell", "embedding", "deleted")
     return (
         rows.groupBy("item_id").agg(F.max(entry).alias("_e"))
         .where(~F.col("_e.deleted"))
