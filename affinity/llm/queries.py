@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from affinity.llm import (
-    bpe, decontaminate, jaccard_join, language_id, license_scan, lm_scoring, quality_rules, secret_scan, suffix_dedup,
+    bpe, decontaminate, jaccard_join, language_id, license_scan, lm_scoring, quality_rules, secret_scan, sql, suffix_dedup,
     url_filter,
 )
 from affinity.llm.text import table
@@ -18,13 +18,13 @@ def op8(spark, sf):
     return url_filter.judge(table(spark, sf, "pages"), url_filter.labelled_urls(spark))
 
 
-@query("op9_quality_rules")
+@query("op9_quality_rules", sql.QUALITY_RULES)
 def op9(spark, sf):
     judged = quality_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
     return judged.drop("n_lines")
 
 
-@query("op2_license_scan")
+@query("op2_license_scan", sql.LICENSE_SCAN)
 def op2(spark, sf):
     return license_scan.scan(table(spark, sf, "documents"))
 
@@ -46,7 +46,7 @@ def op6(spark, sf, vocabulary=None):
     )
 
 
-@query("op10_jaccard_join")
+@query("op10_jaccard_join", sql.JACCARD_JOIN)
 def op10(spark, sf):
     return jaccard_join.join(table(spark, sf, "documents"), n=3, num=90, den=100)
 
@@ -67,7 +67,7 @@ def op4(spark, sf):
     return lm_scoring.cross_entropy_difference(table(spark, sf, "documents"), target)
 
 
-@query("op1_suffix_dedup")
+@query("op1_suffix_dedup", sql.SUFFIX_DEDUP)
 def op1(spark, sf):
     out = suffix_dedup.dedup(table(spark, sf, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
