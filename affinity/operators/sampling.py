@@ -9,21 +9,28 @@ from affinity.functions.hashing import TWO_32, hex_u32, md5_hex, md5_uniform
 from affinity.operators.ranking import dense_index, number_in_groups
 from affinity.session import parallelism
 
-SHUFFLE_ROUNDS = (3, 5, 7, 11, 13, 17, 19, 23)  # one multiplier per round
+# per round: a multiplier for the keys, and a prime above any catalogue size that spreads neighbours
+SHUFFLE_ROUNDS = (
+    (3, 2147483629), (5, 2147483587), (7, 2147483579), (11, 2147483563),
+    (13, 2147483549), (17, 2147483543), (19, 2147483497), (23, 2147483489),
+)
+MAX_ITEMS = 2147483488
 MERSENNE_31 = 2147483647
 DRAWS_PER_BLOCK = 65536
 
 
 def _round_keys(size: str) -> Column:
-    """Shift in [0, size) and multiplier of every shuffle round, from ``_h0`` .. ``_h3``."""
+    """Factor, offset, shift (all in [0, size)) and multiplier of every round, from ``_h0`` .. ``_h3``."""
     p = F.lit(MERSENNE_31)
     return F.array(
         *[
             F.struct(
+                (F.lit(prime).cast("bigint") % F.col(size)).alias("factor"),
+                ((F.col("_h0") * c + F.col("_h3")) % p % F.col(size)).alias("offset"),
                 ((F.col("_h0") * c + F.col("_h1")) % p % F.col(size)).alias("shift"),
                 ((F.col("_h2") * c + F.col("_h3")) % p).alias("mul"),
             )
-            for c in SHUFFLE_ROUNDS
+            for c, prime in SHUFFLE_ROUNDS
         ]
     )
 
@@ -31,13 +38,16 @@ def _round_keys(size: str) -> Column:
 def _shuffled(draw: str, size: str) -> Column:
     """The image of ``draw`` under a permutation of ``[0, size)`` keyed by ``_keys``.
 
-    A swap-or-not shuffle: each round pairs x with (shift - x) mod size and swaps the two when
-    a keyed bit of the larger one is set. Every round is a bijection for any size, so distinct
-    draws give distinct positions and no de-duplication is needed.
+    Each round first sends x to (factor * x + offset) mod size, which takes neighbours far apart;
+    then, as in a swap-or-not shuffle, it pairs x with (shift - x) mod size and swaps the two when
+    a keyed bit of the larger one is set. The factor comes from a prime above ``MAX_ITEMS``, so both
+    steps are bijections for any size up to it: distinct draws give distinct positions and no
+    de-duplication is needed.
     """
     n, p = F.col(size), F.lit(MERSENNE_31)
 
-    def swap(x, key):
+    def swap(before, key):
+        x = (key["factor"] * before + key["offset"]) % n
         pair = (key["shift"] + n - x) % n
         bit = (key["mul"] * F.greatest(x, pair) + F.col("_h0")) % p % 2
         return F.when(bit == 1, pair).otherwise(x)
@@ -66,12 +76,17 @@ def negative_samples(
     The work is linear in the positives, also for users that own most of the catalogue.
 
     Positives outside the catalogue count for the number of negatives but ban nothing. A user
-    that wants more items than it does not own raises, or takes all of them with ``clamp``. ``exclude="bucket"`` rejects the items that are positive for any user in the
-    same hash bucket of users instead of only those of the user.
+    that wants more items than it does not own raises, or takes all of them with ``clamp``.
+    ``exclude="bucket"`` rejects the items that are positive for any user in the same hash bucket
+    of users instead of only those of the user; ``buckets`` should grow with the users, so that
+    a bucket holds about one batch of pairs.
     """
     spark = pairs.sparkSession
     shelf = dense_index(catalogue.select(item), [item], "_ix")
     n_items = shelf.agg(F.count("*").alias("n")).scalar()
+    n_items = F.when(n_items <= MAX_ITEMS, n_items).otherwise(
+        F.raise_error(F.lit(f"a catalogue of more than {MAX_ITEMS} items")).cast("bigint")
+    )
 
     inside = pairs.join(catalogue.select(item), item, "left_semi")
     owned = pairs.groupBy(user).agg(F.count("*").alias("_owned"))

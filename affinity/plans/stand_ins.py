@@ -135,11 +135,12 @@ def negatives_sql(per_positive: int = 1, clamp: bool = False, seed: int = SEED)
         "unnest(generate_series(0, draws-1)) d from want))",
     ]
     last = len(sampling.SHUFFLE_ROUNDS)
-    for r, c in enumerate(sampling.SHUFFLE_ROUNDS):
+    for r, (c, prime) in enumerate(sampling.SHUFFLE_ROUNDS):
         parts.append(
             f"r{r + 1} as (select user_id, wanted, n, h0, h1, h2, h3, d, case when "
-            f"(((h2*{c}+h3) % 2147483647)*greatest(x,p)+h0) % 2147483647 % 2 = 1 then p else x "
-            f"end x from (select *, ((h0*{c}+h1) % 2147483647 % n + n - x) % n p from r{r}))"
+            f"(((h2*{c}+h3) % 2147483647)*greatest(y,p)+h0) % 2147483647 % 2 = 1 then p else y "
+            f"end x from (select *, ((h0*{c}+h1) % 2147483647 % n + n - y) % n p from "
+            f"(select *, ({prime}::bigint % n * x + (h0*{c}+h3) % 2147483647 % n) % n y from r{r})))"
         )
     parts.append(
         "neg as materialized (select user_id, product_id from (select user_id, product_id, "

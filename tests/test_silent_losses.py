@@ -31,7 +31,7 @@ def test_stored_table_that_cannot_be_read_is_an_error(spark, tmp_path):
     path = tmp_path / "out" / "stream=a" / "batch=0"
     path.mkdir(parents=True)
     (path / "part-0.parquet").write_text("no parquet")
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
         incremental.read_positives(spark, str(tmp_path / "out")).collect()
 
 
@@ -103,3 +103,17 @@ def test_failing_checks_tell_how_many(spark):
     with pytest.raises(ValueError, match="^1 rows"):
         checks.require_ids_within(split, "user_id", 3)
     assert checks.require_ids_within(split, "user_id", 4) is split
+
+
+def test_negatives_of_one_user_spread_over_the_catalogue(spark):
+    """Neighbouring draws don't fall in a few windows: as many of 200 slices as random draws would hit."""
+    pairs = spark.range(2).select(F.lit(1).alias("user_id"), "id").union(
+        spark.range(200).select((F.col("id") % 20 + 2).cast("int"), "id")
+    ).toDF("user_id", "product_id")
+    catalogue = spark.range(20_000).toDF("product_id")
+    got = sampling.negative_samples(pairs, catalogue, per_positive=20)
+    slices = F.count_distinct(F.floor(F.col("product_id") / 100)).alias("n")
+    rows = got.where("user_id > 1").groupBy("user_id").agg(slices, F.count("*").alias("draws")).collect()
+    assert len(rows) == 20 and all(r["draws"] == 200 for r in rows)
+    # 200 draws hit 126.6 of 200 slices on average
+    assert 120 < sum(r["n"] for r in rows) / len(rows) < 133
