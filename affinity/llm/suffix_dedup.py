@@ -10,7 +10,8 @@ has bytes, and all documents together. So the collection is cut first:
    the anchor. Neighbouring windows share anchors; the bytes of a run of windows with one anchor are a
    piece. Equal windows have equal anchors at equal places, so only pieces whose anchors have equal
    hashes need be compared. Anchors that occur once in the corpus are dropped before any text moves.
-2. Pieces. Equal pieces are collapsed to their first occurrence; at all others every byte goes.
+2. Pieces. Equal pieces are collapsed to their first occurrence; at all others every byte goes. Bytes
+   are moved only for anchors that have different pieces.
 3. Columns. Pieces of an anchor are aligned at it and read column by column from the right. Each round
    inserts a symbol of every piece: a stable sort of the last order by the new symbols gives the new
    segment of the transform, and common prefixes grow by one within a symbol (the least of those
@@ -118,7 +119,8 @@ class Anchors:
 
 
 ANCHOR = "gram bigint, doc_id bigint, start bigint"
-PIECE = "gram bigint, content bigint, doc_id bigint, start bigint, count bigint, place bigint, piece binary"
+PLACE = "gram bigint, content bigint, doc_id bigint, start bigint, count bigint, place bigint"
+PIECE = PLACE + ", piece binary"
 
 
 def _anchors(docs: DataFrame) -> DataFrame:
@@ -157,8 +159,13 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
     return materialize(ordered.mapInArrow(_repeated, "gram bigint").distinct(), "suffix-anchors")
 
 
-def _cut(found: Anchors, ids, seen: set) -> pa.RecordBatch:
+def _cut(found: Anchors, ids, seen: set | None) -> pa.RecordBatch:
+    """Rows of pieces; without ``seen`` they have no bytes."""
     joined, ends, content = found.pieces()
+    columns = [found.gram.view(np.int64), content.view(np.int64), None, found.start, found.count, found.place]
+    arrays = [pa.array(c) if c is not None else ids.take(pa.array(found.row)) for c in columns]
+    if seen is None:
+        return pa.RecordBatch.from_arrays(arrays, names=["gram", "content", "doc_id", "start", "count", "place"])
     keys = list(zip(found.gram.tolist(), content.tolist()))
     fresh = np.zeros(len(keys), dtype=bool)
     for i, key in enumerate(keys):
@@ -172,23 +179,22 @@ def _cut(found: Anchors, ids, seen: set) -> pa.RecordBatch:
     offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
     valid = pa.array(fresh).buffers()[1]
     piece = pa.Array.from_buffers(pa.binary(), len(fresh), [valid, pa.py_buffer(offsets), pa.py_buffer(kept.tobytes())])
-    columns = [found.gram.view(np.int64), content.view(np.int64), None, found.start, found.count, found.place]
-    arrays = [pa.array(c) if c is not None else ids.take(pa.array(found.row)) for c in columns]
     return pa.RecordBatch.from_arrays([*arrays, piece], names=["gram", "content", "doc_id", "start", "count", "place", "piece"])
 
 
-def _pieces(docs: DataFrame, repeated: DataFrame) -> DataFrame:
-    """The pieces of repeated anchors; a task sends the bytes of equal pieces once where it can."""
+def _pieces(docs: DataFrame, repeated: DataFrame, bytes_: bool) -> DataFrame:
+    """The pieces of repeated anchors, with or without their bytes; a task sends the bytes of equal pieces
+    once where it can."""
     held = None
     if repeated.limit(MAX_HELD + 1).count() <= MAX_HELD:
-        grams = repeated.toPandas()["gram"].to_numpy(dtype=np.int64).view(np.uint64)
+        grams = repeated.toArrow()["gram"].to_numpy().view(np.uint64)
         held = docs.sparkSession.sparkContext.broadcast(np.sort(grams))
     else:
         wanted = _anchors(docs).join(repeated, "gram").groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
         docs = docs.join(wanted, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set = set()
+        seen: set | None = set() if bytes_ else None
         for batch in batches:
             for a, b in slices(batch.column("text"), CHUNK):
                 part = batch.slice(a, b - a)
@@ -206,7 +212,7 @@ def _pieces(docs: DataFrame, repeated: DataFrame) -> DataFrame:
                 if len(found.gram):
                     yield _cut(found, part.column("doc_id"), seen)
 
-    return docs.mapInArrow(run, PIECE)
+    return docs.mapInArrow(run, PIECE if bytes_ else PLACE)
 
 
 # ---- columns --------------------------------------------------------------------------------
@@ -316,17 +322,19 @@ def _ranges(ids, begin, end) -> pa.RecordBatch:
 def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """The maximal runs of repeated bytes: doc_id, begin and end (bytes from 0, end not included)."""
     docs = docs.select("doc_id", "text").where("doc_id is not null and octet_length(text) >= 100")
-    pieces = materialize(_pieces(docs, repeated_anchors(docs)), "suffix-pieces")
+    pieces = materialize(_pieces(docs, repeated_anchors(docs), False), "suffix-pieces")
     found = F.min(F.struct("doc_id", "start", "count", "place")).alias("f")
-    firsts = pieces.groupBy("gram", "content").agg(found, F.first("piece", ignorenulls=True).alias("piece"), F.count("*").alias("n"))
-    firsts = materialize(firsts.select("gram", "content", "f.*", "piece", "n"), "suffix-firsts")
+    firsts = pieces.groupBy("gram", "content").agg(found, F.count("*").alias("n"))
+    firsts = materialize(firsts.select("gram", "content", "f.*", "n"), "suffix-firsts")
     range_ = ["doc_id", F.col("start").alias("begin"), (F.col("start") + F.col("count") + (WIDTH - 1)).alias("end")]
     # every occurrence of a piece but the first goes as a whole
     first = firsts.where("n > 1").select("gram", "content", F.col("doc_id").alias("first_id"), F.col("start").alias("first_start"))
     copies = pieces.select("gram", "content", "doc_id", "start", "count").join(first, ["gram", "content"])
     ranges = copies.where("doc_id <> first_id or start <> first_start").select(*range_)
     groups = materialize(firsts.groupBy("gram").agg(F.count("*").alias("pieces")).where("pieces > 1"), "suffix-groups")
-    several = firsts.join(groups, "gram")
+    # only anchors with different pieces need bytes, which are cut in a second pass over the texts
+    bodies = _pieces(docs, groups.select("gram"), True).groupBy("gram", "content").agg(F.first("piece", ignorenulls=True).alias("piece"))
+    several = firsts.drop("n").join(groups, "gram").join(bodies, ["gram", "content"])
     normal = several.where(F.col("pieces") <= hot).select("gram", "doc_id", "start", "place", "piece")
     sorted_ = normal.repartition("gram").sortWithinPartitions("gram")
     ranges = ranges.union(sorted_.mapInArrow(_in_columns, "doc_id bigint, begin bigint, end bigint"))
