@@ -8,10 +8,11 @@ target.
 The background holds the scored documents themselves, so each of their tokens is left out of the
 background's counts when it is scored; else the two losses wouldn't be comparable.
 
-All counts cover all texts. The vocabulary holds the ``VOCABULARY`` most frequent words of target and
-background together (ties by the word), other words are one unknown word; the models hold the
-``BIGRAMS`` most frequent pairs and fall back to unigrams for others. These two numbers are the models'
-size; they bound what every task holds, whatever the corpus. Words are counted by Spark with partial
+All counts cover all texts. The vocabulary holds the most frequent words of target and background
+together: those with the least count, or more, that at most ``VOCABULARY`` words have; other words are
+one unknown word. The models hold the most frequent pairs, by the same rule at most ``BIGRAMS``, and fall
+back to unigrams for others. These two numbers are the models' size; they bound what every task holds,
+whatever the corpus. Words are counted by Spark with partial
 sums in each task; pairs likewise, after each task has summed its own.
 
 Defined cases. Tokens are what is between white space, lower-cased. Null or empty texts have no token
@@ -48,10 +49,24 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return words.groupBy(_lower(F.col("w")).alias("word")).agg(F.sum("n").alias("n"))
 
 
+def most_frequent(counts: DataFrame, size: int) -> pa.Table:
+    """The rows of a frozen table with the least ``n``, or more, that at most ``size`` rows have.
+
+    A whole count goes in or stays out, so nothing has to be ranked; what is collected is bounded by
+    ``size`` twice.
+    """
+    have = counts.groupBy("n").agg(F.count("*").alias("rows")).orderBy(F.desc("n")).limit(size + 1).toArrow()
+    within = np.cumsum(have["rows"].to_numpy()) <= size
+    if not within.any():
+        return counts.limit(0).toArrow()
+    return counts.where(F.col("n") >= int(have["n"].to_numpy()[within].min())).toArrow()
+
+
 def vocabulary(target: DataFrame, background: DataFrame, size: int = VOCABULARY) -> list[str]:
-    """The shared vocabulary, by frequency."""
+    """The shared vocabulary, by frequency and then the word."""
     both = word_counts(target.select("text").union(background.select("text")))
-    return [r["word"] for r in both.orderBy(F.desc("n"), "word").limit(size).collect()]
+    found = most_frequent(materialize(both, "lm-words"), size)
+    return [w for _, w in sorted((-n, w) for w, n in zip(found["word"].to_pylist(), found["n"].to_pylist()))]
 
 
 class Tokens:
@@ -112,24 +127,25 @@ def models(target: DataFrame, background: DataFrame, size: int = VOCABULARY, big
     both = ours.select("pair", F.col("n").alias("b"), F.lit(0).cast("bigint").alias("t")).union(
         theirs.select("pair", F.lit(0).cast("bigint").alias("b"), F.col("n").alias("t"))
     )
-    both = materialize(both.groupBy("pair").agg(F.sum("b").alias("b"), F.sum("t").alias("t")), "lm-pairs")
+    both = both.groupBy("pair").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
+    both = materialize(both.withColumn("n", F.col("b") + F.col("t")), "lm-pairs")
     place = F.col("pair") % (len(words) + 1)
-    unigrams = both.groupBy(place.alias("w")).agg(F.sum("b").alias("b"), F.sum("t").alias("t")).toPandas()
+    unigrams = both.groupBy(place.alias("w")).agg(F.sum("b").alias("b"), F.sum("t").alias("t")).toArrow()
     before = (F.col("pair") / (len(words) + 1)).cast("bigint")
-    firsts = both.groupBy(before.alias("w")).agg(F.sum("b").alias("b"), F.sum("t").alias("t")).toPandas()
-    pairs = both.orderBy(F.desc(F.col("b") + F.col("t")), "pair").limit(bigrams).toPandas().sort_values("pair")
+    firsts = both.groupBy(before.alias("w")).agg(F.sum("b").alias("b"), F.sum("t").alias("t")).toArrow()
+    pairs = most_frequent(both, bigrams).sort_by("pair")
 
     def dense(frame, column):
         out = np.zeros(len(words) + 1)
-        out[frame["w"].to_numpy(dtype=np.int64)] = frame[column].to_numpy()
+        out[frame["w"].to_numpy()] = frame[column].to_numpy()
         return out
 
     return {
         "words": words,
         "own": [0, 1],
-        "pairs": pairs["pair"].to_numpy(dtype=np.int64),
+        "pairs": pairs["pair"].to_numpy(),
         "models": [
-            {"words": dense(unigrams, c), "firsts": dense(firsts, c), "pairs": pairs[c].to_numpy(dtype=np.float64)} for c in ("t", "b")
+            {"words": dense(unigrams, c), "firsts": dense(firsts, c), "pairs": pairs[c].to_numpy().astype(np.float64)} for c in ("t", "b")
         ],
     }
 

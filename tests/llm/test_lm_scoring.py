@@ -10,10 +10,16 @@ def words(text):
     return [w for w in "".join(" " if c in " \t\n\x0b\x0c\r" else c for c in (text or "").translate(UPPER)).split(" ") if w]
 
 
+def frequent(counter, size):
+    """Entries with the least count, or more, that at most ``size`` entries have."""
+    fits = [n for n in counter.values() if sum(m >= n for m in counter.values()) <= size]
+    return {x for x, n in counter.items() if fits and n >= min(fits)}
+
+
 def brute(rows, target, size, bigrams):
     texts = {"t": [words(t) for t in target], "b": [words(t) for _, t in rows]}
     total = Counter(w for ts in texts.values() for t in ts for w in t)
-    kept = [w for w, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:size]]
+    kept = sorted(frequent(total, size), key=lambda w: (-total[w], w))
     number = {w: i + 1 for i, w in enumerate(kept)}
     n = len(kept) + 1
     pairs = {}
@@ -23,7 +29,7 @@ def brute(rows, target, size, bigrams):
             ids = [0] + [number.get(w, 0) for w in t]
             pairs[m].update(zip(ids, ids[1:]))
     both = pairs["t"] + pairs["b"]
-    known = {p for p, _ in sorted(both.items(), key=lambda x: (-x[1], x[0][0] * n + x[0][1]))[:bigrams]}
+    known = frequent(both, bigrams)
     out = []
     for d, text in rows:
         ids = [0] + [number.get(w, 0) for w in words(text)]
@@ -49,7 +55,7 @@ def test_scores_equal_brute_force(spark):
     target = ["the cat sat", "the cat ran", None]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 as score", "'x' as word").repartition(2)
     aims = spark.createDataFrame([(t,) for t in target], "text string")
-    for size, bigrams in ((100, 1000), (3, 4)):
+    for size, bigrams in ((100, 1000), (3, 4), (0, 0)):
         got = lm.cross_entropy_difference(docs, aims, size, bigrams).collect()
         assert sorted((r["doc_id"], r["n_tokens"], round(r["score"], 9) + 0.0) for r in got) == brute(rows, target, size, bigrams)
 
