@@ -175,7 +175,7 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_words: in
     grams = theirs.select("gram").distinct()
     only = None
     if grams.limit(MAX_FILTER + 1).count() <= MAX_FILTER:
-        only = np.sort(np.array([r["gram"] for r in grams.collect()], dtype=np.int64).view(np.uint64))
+        only = np.sort(grams.toArrow()["gram"].to_numpy().view(np.uint64))
     if only is not None and not len(only):
         only, sizes = None, []
     item = theirs.select(
