@@ -20,8 +20,8 @@ separates nothing: nearly all distances are 1, from any pivot. So the recursion
    a link), as a partner may live there. Pivots are done then, and so are regions whose members all
    link with their pivot. This repeats; what pivots can't split is cut in blocks that are joined by
    pairs. So no task holds more than a bounded region, whatever the groups.
-3. Within a region the same inequality over a few pivots leaves pairs to be measured exactly; pairs
-   that are connected already aren't.
+3. Within a region pivots connect large families; of the rest, sets that share one of their rarest
+   n-grams are measured exactly, unless they are connected already.
 
 Words and sets go through 64-bit hashes. Defined cases: null text, or no word: an empty set, linked
 with nothing; fewer words than n: the whole sequence is the one n-gram. Repeated rows are equal sets
@@ -45,7 +45,7 @@ from affinity.operators.ranking import best_per_group
 from affinity.session import materialize
 
 CHUNK = 2_000_000
-REGION = 4_000  # entities that one task compares
+REGION = 30_000  # entities that one task compares
 PIVOTS = 8
 ROUNDS = 4
 SEEN = 1_000_000  # entities a task remembers so as not to send equal sets twice
@@ -229,33 +229,53 @@ class Region:
             i = self.root[i]
         return i
 
+    def join(self, i: int, others: np.ndarray, num: int, den: int, edges: list) -> None:
+        """Measures set ``i`` against others and connects it with those it links with."""
+        shared = self.shared(i, others)
+        union = self.sizes[i] + self.sizes[others] - shared
+        for j in others[shared * den >= num * union].tolist():
+            a, b = self.find(i), self.find(j)
+            if a != b:
+                self.root[b] = a
+                edges.append((int(self.names[i]), int(self.names[j])))
+
     def links(self, num: int, den: int, pivots: int = PIVOTS) -> list[tuple[int, int]]:
-        """Edges of a forest that connects what links connect."""
-        count, reach = len(self.names), 1 - num / den + 1e-9
-        edges, table, everyone = [], [], np.arange(count)
-        for i in range(count - 1):
-            later = everyone[i + 1 :]
-            roots = np.array([self.find(j) for j in range(count)])
-            self.root = roots
-            if (roots == roots[0]).all():
+        """Edges of a forest that connects what links connect.
+
+        Pivots are measured against all first, which connects large families. Then sets that share one
+        of their rarest n-grams are measured, if they aren't connected yet: of two sets that link, the
+        first ``size - need + 1`` n-grams in the order of their frequency here share one.
+        """
+        count, edges = len(self.names), []
+        everyone, used = np.arange(count), set()
+        for i in range(count):
+            if len(used) == pivots:
                 break
-            fit = (self.sizes[later] * den >= num * self.sizes[i]) & (self.sizes[i] * den >= num * self.sizes[later])
-            fit &= roots[later] != roots[i]
-            for d in table:
-                fit &= np.abs(d[later] - d[i]) <= reach
-            if not fit.any():
-                continue
-            full = len(table) < pivots
-            chosen = everyone if full else later[fit]
-            shared = self.shared(i, chosen)
-            union = self.sizes[i] + self.sizes[chosen] - shared
-            if full:
-                table.append(1 - shared / union)
-            for j in chosen[(shared * den >= num * union) & (chosen > i)].tolist():
-                a, b = self.find(i), self.find(j)
-                if a != b:
-                    self.root[b] = a
-                    edges.append((int(self.names[i]), int(self.names[j])))
+            if self.find(i) not in used:
+                self.join(i, everyone, num, den, edges)
+                used.add(self.find(i))
+        frequency = np.bincount(self.places)
+        owner = np.repeat(everyone, self.sizes)
+        shared = frequency[self.places] > 1
+        order = np.lexsort((self.places, frequency[self.places], owner))
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order)) - np.repeat(self.start, self.sizes)
+        need = -(-num * self.sizes // den)
+        first = np.flatnonzero(shared & (rank < np.repeat(self.sizes - need + 1, self.sizes)))
+        first = first[np.argsort(self.places[first], kind="stable")]
+        place, docs = self.places[first], owner[first]
+        cuts = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1]))) if len(place) else []
+        measured = set()
+        for a, b in zip(cuts, np.append(cuts[1:], len(place))):
+            cell = docs[a:b]
+            for k in range(len(cell) - 1):
+                i, later = int(cell[k]), cell[k + 1 :]
+                fit = (self.sizes[later] * den >= num * self.sizes[i]) & (self.sizes[i] * den >= num * self.sizes[later])
+                root = self.find(i)
+                open_ = [j for j in later[fit].tolist() if self.find(j) != root and (i, j) not in measured]
+                if open_:
+                    measured.update((i, j) for j in open_)
+                    self.join(i, np.array(open_), num, den, edges)
         return edges
 
 
