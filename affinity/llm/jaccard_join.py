@@ -73,7 +73,8 @@ def shingle_sets(texts, n: int) -> list[np.ndarray]:
 def entity(s: np.ndarray) -> int:
     """A 64-bit name of a set's content."""
     total = mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
-    return int(mix(np.array([total + np.uint64(len(s)) * np.uint64(0x9E3779B97F4A7C15)], dtype=np.uint64)).view(np.int64)[0])
+    named = (int(total) + len(s) * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF
+    return int(mix(np.array([named], dtype=np.uint64)).view(np.int64)[0])
 
 
 class Levels:
