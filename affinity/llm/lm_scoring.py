@@ -1,24 +1,25 @@
 """Cross-entropy difference (Moore and Lewis, 2010): how much a text looks like a target corpus.
 
 Two models of the same form are counted, one on target texts and one on the background: bigrams with
-interpolated unigrams over one shared vocabulary, with the same set of bigrams. A document's score is
-the mean over its tokens of the background's loss less the target's; above zero it is more like the
-target.
+interpolated unigrams over one shared vocabulary. A document's score is the mean over its tokens of the
+background's loss less the target's; above zero it is more like the target.
 
 The background holds the scored documents themselves, so each of their tokens is left out of the
 background's counts when it is scored; else the two losses wouldn't be comparable.
 
-All counts cover all texts. The vocabulary holds the most frequent words of target and background
-together: those with the least count, or more, that at most ``VOCABULARY`` words have; other words are
-one unknown word. The models hold the most frequent pairs, by the same rule at most ``BIGRAMS``, and fall
-back to unigrams for others. These two numbers are the models' size; they bound what every task holds,
-whatever the corpus. Words are counted by Spark with partial
-sums in each task; pairs likewise, after each task has summed its own.
-
-Defined cases. Tokens are what is between white space, lower-cased. Null or empty texts have no token
-and score 0. Repeated rows count and are scored each. Without target texts both models are smoothed
-alike and scores are those of the smoothing. An empty table gives an empty result. Texts are read
-whole; columns beyond doc_id and text play no part.
+All words and pairs of all texts are in the models, however rare. The models are Spark tables that grow
+with the input; neither the driver nor a task holds one. The loss of a token is a part for its word, a
+part for the word before it, and a part for the pair, which is zero where no model has seen the pair but
+in the token itself. So the losses of words and pairs are one table by key, each document's words and
+pairs are counted within the document and joined with it, and the products are summed for each
+document. A caller may limit the vocabulary or the pairs (``size``, ``bigrams``) to the words or pairs
+with the least count, or more, that at most so many have; other words are then one unknown word, and
+other pairs fall back to unigrams. No limit is set unless it is given.
+
+Defined cases. Tokens are what is between white space, lower-cased; words and pairs are told apart by
+64-bit hashes. Null or empty texts have no token and score 0. Repeated rows count and are scored each.
+Without target texts both models are smoothed alike and scores are those of the smoothing. An empty
+table gives an empty result. Texts are read whole; columns beyond doc_id and text play no part.
 """
 
 from __future__ import annotations
@@ -27,16 +28,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.text import lower_table, hash_spans, slices, space_table, space_words, text_bytes, word_spans
+from affinity.llm.text import hash_spans, lower_table, mix, slices, space_table, space_words, text_bytes, word_spans
 from affinity.session import materialize
 
-VOCABULARY = 50_000
-BIGRAMS = 1_000_000
 CHUNK = 1_500_000
 MIX = 0.7  # weight of the bigram where its first word was seen
+NONE, ANY = 0, 1  # in place of a word's hash: the unknown word and what stands before the first; all words
+PAIR = 0x5851F42D4C957F2D  # tells the key of a pair whose first is ``NONE`` from its word's
 
 
 def _lower(text):
@@ -49,147 +51,183 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return words.groupBy(_lower(F.col("w")).alias("word")).agg(F.sum("n").alias("n"))
 
 
-def most_frequent(counts: DataFrame, size: int) -> pa.Table:
+def most_frequent(counts: DataFrame, size: int) -> DataFrame:
     """The rows of a frozen table with the least ``n``, or more, that at most ``size`` rows have.
 
-    A whole count goes in or stays out, so nothing has to be ranked; what is collected is bounded by
-    ``size`` twice.
+    A whole count goes in or stays out, so nothing has to be ranked.
     """
     have = counts.groupBy("n").agg(F.count("*").alias("rows")).orderBy(F.desc("n")).limit(size + 1).toArrow()
     within = np.cumsum(have["rows"].to_numpy()) <= size
-    if not within.any():
-        return counts.limit(0).toArrow()
-    return counts.where(F.col("n") >= int(have["n"].to_numpy()[within].min())).toArrow()
-
-
-def vocabulary(target: DataFrame, background: DataFrame, size: int = VOCABULARY) -> list[str]:
-    """The shared vocabulary, by frequency and then the word."""
-    both = word_counts(target.select("text").union(background.select("text")))
-    found = most_frequent(materialize(both, "lm-words"), size)
-    return [w for _, w in sorted((-n, w) for w, n in zip(found["word"].to_pylist(), found["n"].to_pylist()))]
+    return counts.where(F.col("n") >= int(have["n"].to_numpy()[within].min())) if within.any() else counts.limit(0)
 
 
 class Tokens:
-    """Texts as places in the vocabulary: 0 is unknown, words count from 1."""
+    """The words of texts as hashes; with a vocabulary given, other words are ``NONE``."""
 
-    def __init__(self, words: list[str]):
-        data = np.frombuffer("\n".join(words).encode(), dtype=np.uint8)
-        hashes = hash_spans(data, *word_spans(data, space_table()))
-        order = np.argsort(hashes)
-        self.hashes, self.places = hashes[order], order + 1
-        self.size = len(words) + 1
+    def __init__(self, words: list[str] | None = None):
+        self.known = None
+        if words is not None:
+            data = np.frombuffer("\n".join(words).encode(), dtype=np.uint8)
+            self.known = np.sort(hash_spans(data, *word_spans(data, space_table())))
 
-    def read(self, texts) -> tuple[np.ndarray, np.ndarray]:
-        """The tokens of all texts and, for each text, where its own begin (and one end more)."""
+    def read(self, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The tokens of all texts, for each the one before it in its text, and for each text where its
+        own begin (and one end more)."""
         data, offsets = text_bytes(texts)
         start, length = word_spans(data, space_table())
-        hashes = hash_spans(lower_table()[data], start, length)
+        tokens = hash_spans(lower_table()[data], start, length)
         first = np.searchsorted(start, offsets)
-        if not len(self.hashes):
-            return np.zeros(len(hashes), dtype=np.int64), first
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.places[at], 0), first
+        if self.known is not None:
+            at = np.minimum(np.searchsorted(self.known, tokens), max(0, len(self.known) - 1))
+            tokens = np.where(self.known[at] == tokens, tokens, np.uint64(NONE)) if len(self.known) else np.zeros_like(tokens)
+        before = np.concatenate((np.zeros(1, dtype=np.uint64), tokens))[: len(tokens)]
+        before[first[:-1][first[:-1] < first[1:]]] = NONE
+        return tokens, before, first
+
 
-    def pairs(self, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Each token with the one before it in its text (unknown before the first) as one number."""
-        before = np.concatenate(([0], tokens[:-1]))
-        begins = first[:-1][first[:-1] < first[1:]]
-        before[begins] = 0
-        return before * self.size + tokens
+def _pair_keys(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    return ((before << np.uint64(17)) | (before >> np.uint64(47))) ^ tokens ^ np.uint64(PAIR)
 
 
-def pair_counts(texts: DataFrame, words: list[str]) -> DataFrame:
-    """pair (previous * size + token), n over all texts."""
+def _pair_key(before: Column, token: Column) -> Column:
+    """``_pair_keys`` as an expression."""
+    return F.shiftleft(before, 17).bitwiseOR(F.shiftrightunsigned(before, 47)).bitwiseXOR(token).bitwiseXOR(F.lit(PAIR))
+
+
+def pair_counts(texts: DataFrame, words: list[str] | None = None) -> DataFrame:
+    """u, v (hashes of a token and of the one before it), n; summed in part. With ``ANY`` as u, n is of
+    the token v behind whatever word, with ``ANY`` as v, of u before whatever word."""
     shared = texts.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(shared.value)
-        held, n = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        reader = Tokens(shared.value)
         for batch in batches:
-            for a, b in slices(batch.column("text"), 8 * CHUNK):
-                found, counts = np.unique(tokens.pairs(*tokens.read(batch.column("text")[a:b])), return_counts=True)
-                keys, inverse = np.unique(np.concatenate((held, found)), return_inverse=True)
-                n = np.bincount(inverse, weights=np.concatenate((n, counts)), minlength=len(keys)).astype(np.int64)
-                held = keys
-                if len(held) > 4_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(n)], names=["pair", "n"])
-                    held, n = held[:0], n[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(n)], names=["pair", "n"])
-
-    counts = texts.select("text").mapInArrow(run, "pair bigint, n bigint")
-    return counts.groupBy("pair").agg(F.sum("n").alias("n"))
-
-
-def models(target: DataFrame, background: DataFrame, size: int = VOCABULARY, bigrams: int = BIGRAMS) -> dict:
-    """The vocabulary and, for both models, the counts of words and of the shared pairs."""
-    words = vocabulary(target, background, size)
-    ours, theirs = pair_counts(background, words), pair_counts(target, words)
-    both = ours.select("pair", F.col("n").alias("b"), F.lit(0).cast("bigint").alias("t")).union(
-        theirs.select("pair", F.lit(0).cast("bigint").alias("b"), F.col("n").alias("t"))
+            for a, b in slices(batch.column("text"), 4 * CHUNK):
+                tokens, before, _ = reader.read(batch.column("text")[a:b])
+                _, at, n = np.unique(_pair_keys(before, tokens), return_index=True, return_counts=True)
+                v, of_v = np.unique(tokens, return_counts=True)
+                u, of_u = np.unique(before, return_counts=True)
+                columns = [
+                    np.concatenate((before[at], np.full(len(v), ANY, dtype=np.uint64), u)).view(np.int64),
+                    np.concatenate((tokens[at], v, np.full(len(u), ANY, dtype=np.uint64))).view(np.int64),
+                    np.concatenate((n, of_v, of_u)).astype(np.int64),
+                ]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["u", "v", "n"])
+
+    return texts.select("text").mapInArrow(run, "u bigint, v bigint, n bigint")
+
+
+def losses(target: DataFrame, background: DataFrame, size: int | None = None, bigrams: int | None = None):
+    """The vocabulary (None without a limit), the losses and those of what stands before a first word.
+
+    The losses are a table: key, t and b (to be added for each time the word or pair is there), and
+    t_first and b_first (for each time the word stands before another), for target and background.
+    """
+    words = None
+    if size is not None:
+        both = materialize(word_counts(target.select("text").union(background.select("text"))), "lm-words")
+        words = most_frequent(both, size).toArrow()["word"].to_pylist()
+    zero = F.lit(0).cast("bigint")
+    counts = pair_counts(background, words).select("u", "v", zero.alias("t"), F.col("n").alias("b")).union(
+        pair_counts(target, words).select("u", "v", F.col("n").alias("t"), zero.alias("b"))
     )
-    both = both.groupBy("pair").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
-    both = materialize(both.withColumn("n", F.col("b") + F.col("t")), "lm-pairs")
-    place = F.col("pair") % (len(words) + 1)
-    unigrams = both.groupBy(place.alias("w")).agg(F.sum("b").alias("b"), F.sum("t").alias("t")).toArrow()
-    before = (F.col("pair") / (len(words) + 1)).cast("bigint")
-    firsts = both.groupBy(before.alias("w")).agg(F.sum("b").alias("b"), F.sum("t").alias("t")).toArrow()
-    pairs = most_frequent(both, bigrams).sort_by("pair")
-
-    def dense(frame, column):
-        out = np.zeros(len(words) + 1)
-        out[frame["w"].to_numpy()] = frame[column].to_numpy()
-        return out
-
-    return {
-        "words": words,
-        "own": [0, 1],
-        "pairs": pairs["pair"].to_numpy(),
-        "models": [
-            {"words": dense(unigrams, c), "firsts": dense(firsts, c), "pairs": pairs[c].to_numpy().astype(np.float64)} for c in ("t", "b")
-        ],
+    counts = counts.groupBy("u", "v").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
+    margin = (F.col("u") == ANY) | (F.col("v") == ANY)
+    if bigrams is None:
+        # a pair that is nowhere but in the token scored adds nothing, nor does one that no document has
+        counts = counts.where(margin | ((F.col("b") > 0) & (F.col("t") + F.col("b") > 1)))
+    counts = materialize(counts, "lm-counts")
+
+    tokens = counts.where(F.col("u") == ANY)
+    total = tokens.agg(F.count("*"), *[F.coalesce(F.sum(m), zero) for m in ("t", "b")]).first()
+    places = 1 + (total[0] if words is None else len(words))
+    own = {"t": 0, "b": 1}
+    plain = {  # the probability of a word by itself
+        m: (F.greatest(F.col(m) - own[m], zero) + 1) / F.lit(float(max(1, n - own[m] + places))) for m, n in (("t", total[1]), ("b", total[2]))
     }
+    seen = {m: F.greatest(F.col(m) - own[m], zero) for m in own}
+    of_word = tokens.select(F.col("v").alias("w"), *[plain[m].alias(f"plain_{m}") for m in own])
+    of_first = counts.where(F.col("v") == ANY).select(F.col("u").alias("w"), *[seen[m].alias(f"seen_{m}") for m in own])
+    by_word = materialize(of_word.join(of_first, "w", "full"), "lm-vocabulary")
+
+    backed_off = {m: F.when(F.col(f"seen_{m}") > 0, F.lit(-np.log(1 - MIX))).otherwise(0.0) for m in own}
+    of_words = by_word.where("plain_t is not null").select(
+        F.col("w").alias("key"), *[(-F.log(f"plain_{m}")).alias(m) for m in own], *[backed_off[m].alias(f"{m}_first") for m in own]
+    )
+    pairs = counts.where(~margin)
+    if bigrams is not None:
+        pairs = most_frequent(pairs.withColumn("n", F.col("t") + F.col("b")), bigrams)
+    gain = {
+        m: F.when((F.col(f"seen_{m}") > 0) & (seen[m] > 0), -F.log1p(seen[m] * MIX / ((1 - MIX) * F.col(f"seen_{m}") * F.col(f"plain_{m}")))).otherwise(0.0)
+        for m in own
+    }
+    of_pairs = (
+        pairs.join(by_word.select(F.col("w").alias("v"), "plain_t", "plain_b"), "v")
+        .join(by_word.where("seen_t is not null").select(F.col("w").alias("u"), "seen_t", "seen_b"), "u")
+        .select(_pair_key(F.col("u"), F.col("v")).alias("key"), *[gain[m].alias(m) for m in own], *[F.lit(0.0).alias(f"{m}_first") for m in own])
+        .where("t <> 0 or b <> 0")
+    )
+    table = materialize(of_words.union(of_pairs), "lm-losses")
+    begin = by_word.where(F.col("w") == NONE).select(*[backed_off[m] for m in own]).first() or (0.0, 0.0)
+    return words, table, begin
 
 
-def _losses(model: dict, tokens, pairs, size, at, hit, own: int) -> np.ndarray:
-    """Minus the log probability of each token; ``own`` is 1 where the token itself is in the counts
-    and has to be left out of them."""
-    total = model["words"].sum() - own
-    plain = (np.maximum(model["words"][tokens] - own, 0) + 1) / (total + size)
-    seen = model["firsts"][pairs // size] - own
-    pair = np.where(hit, np.maximum(model["pairs"][at] - own, 0), 0.0) if len(model["pairs"]) else np.zeros(len(tokens))
-    return -np.log(np.where(seen > 0, MIX * pair / np.maximum(seen, 1) + (1 - MIX) * plain, plain))
+def _counted(owner: np.ndarray, keys: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each key of each owner, how often it is there, and how often with ``inner`` set."""
+    order = np.lexsort((keys, owner))
+    owner, keys = owner[order], keys[order]
+    new = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (keys[1:] != keys[:-1]))))
+    return owner[new], keys[new], np.diff(np.append(new, len(keys))), np.add.reduceat(inner[order].astype(np.int64), new)
 
 
-def score(docs: DataFrame, fitted: dict) -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss (means per token) and score, their difference."""
-    shared = docs.sparkSession.sparkContext.broadcast(fitted)
+def document_counts(docs: DataFrame, words: list[str] | None = None) -> DataFrame:
+    """For each row of ``docs`` (numbered, ``row``) its words and pairs: key, n, and n_first, how often a
+    word stands before another. One more line, with ``head`` set, has doc_id and the number of tokens
+    as n; its key is the row's own and in no model."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value
-        reader, known = Tokens(held["words"]), held["pairs"]
+        reader, row = Tokens(shared.value), TaskContext.get().partitionId() << 33
         for batch in batches:
             for a, b in slices(batch.column("text"), CHUNK):
-                tokens, first = reader.read(batch.column("text")[a:b])
-                pairs = reader.pairs(tokens, first)
-                at = np.minimum(np.searchsorted(known, pairs), max(0, len(known) - 1))
-                hit = known[at] == pairs if len(known) else np.zeros(len(pairs), dtype=bool)
+                tokens, before, first = reader.read(batch.column("text")[a:b])
                 count = np.diff(first)
-                means = []
-                for model, own in zip(held["models"], held["own"]):
-                    losses = _losses(model, tokens, pairs, reader.size, at, hit, own)
-                    sums = np.concatenate(([0.0], np.cumsum(losses)))
-                    means.append((sums[first[1:]] - sums[first[:-1]]) / np.maximum(count, 1))
-                columns = [count.astype(np.int64), *means, means[1] - means[0]]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")[a:b], *map(pa.array, columns)],
-                    names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"],
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, score double"
+                rows = row + np.arange(b - a)
+                row += b - a
+                parts = [(rows, mix(rows.astype(np.uint64) + np.uint64(2)), count, np.zeros(b - a, dtype=np.int64))]
+                if len(tokens):
+                    owner = np.repeat(rows, count)
+                    inner = np.ones(len(tokens), dtype=bool)
+                    inner[first[1:][count > 0] - 1] = False
+                    parts.append(_counted(owner, tokens, inner))
+                    parts.append(_counted(owner, _pair_keys(before, tokens), np.zeros(len(tokens), dtype=bool)))
+                of_row, key, n, n_first = (np.concatenate(x) for x in zip(*parts))
+                rest = len(of_row) - (b - a)
+                doc_id = pa.concat_arrays([batch.column("doc_id")[a:b].cast(pa.int64()), pa.nulls(rest, pa.int64())])
+                columns = [
+                    pa.array(of_row.astype(np.int64)), doc_id, pa.array(np.arange(len(of_row)) < b - a), pa.array(key.view(np.int64)),
+                    pa.array(n.astype(np.int32)), pa.array(n_first.astype(np.int32)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "head", "key", "n", "n_first"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "row bigint, doc_id bigint, head boolean, key bigint, n int, n_first int")
+
+
+def cross_entropy_difference(docs: DataFrame, target: DataFrame, size: int | None = None, bigrams: int | None = None) -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss (means per token) and score, their difference, with
+    models from ``target`` (text) and all of ``docs``."""
+    words, table, begin = losses(target, docs, size, bigrams)
+    part = {m: F.when(~F.col("head"), F.col("n") * F.col(m) + F.col("n_first") * F.col(f"{m}_first")) for m in ("t", "b")}
+    summed = (
+        document_counts(docs, words).join(table, "key", "left")
+        .where(F.col("head") | F.col("t").isNotNull())
+        .groupBy("row")
+        .agg(
+            F.max("doc_id").alias("doc_id"), F.max(F.when(F.col("head"), F.col("n"))).cast("bigint").alias("n_tokens"),
+            *[F.coalesce(F.sum(part[m]), F.lit(0.0)).alias(m) for m in part],
+        )
+    )
+    mean = {m: F.when(F.col("n_tokens") > 0, (F.col(m) + F.lit(float(x))) / F.col("n_tokens")).otherwise(0.0) for m, x in zip(part, begin)}
+    return summed.select("doc_id", "n_tokens", mean["t"].alias("target_loss"), mean["b"].alias("background_loss")).withColumn(
+        "score", F.col("background_loss") - F.col("target_loss")
     )
-
-
-def cross_entropy_difference(docs: DataFrame, target: DataFrame, size: int = VOCABULARY, bigrams: int = BIGRAMS) -> DataFrame:
-    """Models from ``target`` (text) and all of ``docs``, and the scores of ``docs``."""
-    return score(docs, models(target, docs, size, bigrams))

@@ -74,3 +74,54 @@ def test_empty(spark):
     assert lm.cross_entropy_difference(docs, docs.select("text")).count() == 0
     some = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
     assert lm.cross_entropy_difference(some, docs.select("text")).count() == 1
+
+
+def test_nothing_is_cut_unless_asked(spark):
+    """More equally frequent words than any fixed vocabulary (50,000 before, and then none was known):
+    all words and pairs count, and two texts of other words of the target are told apart."""
+    n = 60_000
+    half = " ".join(f"w{i}" for i in range(n // 2))
+    rest = " ".join(f"w{i}" for i in range(n // 2, n))
+    rows = [(1, half), (2, rest), (2, rest), (None, "w1 w2 w1"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    aims = spark.createDataFrame([(half,)], "text string")
+    got = lm.cross_entropy_difference(docs, aims).collect()
+    scores = {r["doc_id"]: r["score"] for r in got if r["n_tokens"] > 3}
+    assert sorted(r["n_tokens"] for r in got) == [0, 3, n // 2, n // 2, n // 2] and scores[1] > 1 > 0 > scores[2]
+
+
+def test_without_limits_equals_brute_force(spark, sf):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").limit(40).collect()]
+    target = [r["text"] for r in spark.read.parquet(f"{sf}/conversations.parquet").where("role = 'assistant'").limit(60).collect()]
+    got = lm.cross_entropy_difference(
+        spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), spark.createDataFrame([(t,) for t in target], "text string")
+    ).collect()
+    vocabulary = {w for t in [*target, *(t for _, t in rows)] for w in words(t)}
+    want = brute_without_limits(rows, target, len(vocabulary) + 1)
+    assert len(got) == len(want)
+    for r in got:
+        assert math.isclose(r["score"], want[r["doc_id"]], abs_tol=1e-9)
+
+
+def brute_without_limits(rows, target, n):
+    counted = {}
+    for m, texts in (("t", target), ("b", [t for _, t in rows])):
+        pairs, unigrams, firsts = Counter(), Counter(), Counter()
+        for t in texts:
+            ids = [None, *words(t)]
+            pairs.update(zip(ids, ids[1:]))
+            unigrams.update(ids[1:])
+            firsts.update(ids[:-1])
+        counted[m] = pairs, unigrams, firsts, sum(unigrams.values())
+    out = {}
+    for d, text in rows:
+        ids, means = [None, *words(text)], []
+        for m, own in (("t", 0), ("b", 1)):
+            pairs, unigrams, firsts, total = counted[m]
+            loss = 0.0
+            for u, v in zip(ids, ids[1:]):
+                plain, seen = (max(unigrams[v] - own, 0) + 1) / (total - own + n), firsts[u] - own
+                loss -= math.log(lm.MIX * max(pairs[u, v] - own, 0) / seen + (1 - lm.MIX) * plain if seen > 0 else plain)
+            means.append(loss / max(1, len(ids) - 1))
+        out[d] = means[1] - means[0]
+    return out
