@@ -3,8 +3,12 @@
 Numbers, names and units of a text are replaced by typed placeholders, so that a question with other
 parameters has the same template. All windows of words of every text are hashed and joined with the
 windows of the benchmark items. Matching windows on one diagonal make a run; the values behind its
-placeholders are its slots, and a run counts only if they are consistent: an item's value stands for
-one value throughout. A document is contaminated by an item if consistent runs cover enough of it.
+placeholders are its slots, which are consistent if an item's value stands for one value throughout.
+
+The words as written, lower-cased, are matched beside the templates, so that a copy is found whatever
+its capitals, lines and sentence ends make of its names. Where a run's slots aren't consistent, its
+template windows are dropped and its verbatim ones stay. A document is contaminated by an item if the
+windows that stay cover ``MIN_WORDS`` of its words, or those of consistent runs ``MIN_SHARE`` of them.
 
 A number is a word with a digit or a number word; a unit is a unit word behind a number; a name is a
 word with one capital, the first letter, that doesn't begin a sentence.
@@ -98,16 +102,20 @@ class Templates:
         self.template = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, self.written)))
         self.slot = number | unit | name
 
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places (in all words) where windows within one text begin, and the windows' hashes."""
-        hashes = rolling(self.template, size)
-        inside = self.owner[: len(hashes)] == self.owner[size - 1 : size - 1 + len(hashes)]
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places (in all words) where windows within one text begin, the windows' hashes, and whether
+        they are of what is written; of the template there are those with a slot (others are the same)."""
+        written, template = rolling(self.written, size), rolling(self.template, size)
+        inside = self.owner[: len(written)] == self.owner[size - 1 : size - 1 + len(written)]
         at = np.flatnonzero(inside)
-        return at, hashes[at]
-
-    def rows(self, at: np.ndarray, hashes: np.ndarray, size: int, ids) -> list:
-        """Arrow columns: id, window, at, size and the slots (place in the window, written word)."""
-        slot = self.slot[at[:, None] + np.arange(size)] if len(at) else np.zeros((0, size), dtype=bool)
+        slots = np.concatenate(([0], np.cumsum(self.slot)))
+        typed = at[slots[at + size] > slots[at]]
+        return np.concatenate((at, typed)), np.concatenate((written[at], template[typed])), np.arange(len(at) + len(typed)) < len(at)
+
+    def rows(self, at: np.ndarray, hashes: np.ndarray, verbatim: np.ndarray, size: int, ids) -> list:
+        """Arrow columns: id, window, at, size and the slots (place in the window, written word), of which
+        a window of what is written has none."""
+        slot = self.slot[at[:, None] + np.arange(size)] & ~verbatim[:, None] if len(at) else np.zeros((0, size), dtype=bool)
         row, place = np.nonzero(slot)
         ends = np.concatenate(([0], np.cumsum(slot.sum(axis=1)))).astype(np.int32)
         slots = pa.StructArray.from_arrays(
@@ -134,10 +142,10 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
                 found = Templates(batch.column("text")[a:b])
                 sizes = np.diff(found.first)
                 for size in sorted({min(window, int(s)) for s in sizes if s >= SHORTEST}):
-                    at, hashes = found.windows(size)
+                    at, hashes, verbatim = found.windows(size)
                     words = sizes[found.owner[at]]
                     right = np.minimum(words, window) == size
-                    columns = found.rows(at[right], hashes[right], size, batch.column("item_id")[a:b])
+                    columns = found.rows(at[right], hashes[right], verbatim[right], size, batch.column("item_id")[a:b])
                     yield pa.RecordBatch.from_arrays([*columns, pa.array(words[right].astype(np.int32))], names=[*NAMES, "words"])
 
     return items.select("item_id", "text").mapInArrow(run, WINDOWS + ", words int")
@@ -156,13 +164,13 @@ def document_windows(docs: DataFrame, sizes: list[int], only: np.ndarray | None
             for a, b in slices(batch.column("text"), CHUNK):
                 found = Templates(batch.column("text")[a:b])
                 for size in sizes:
-                    at, hashes = found.windows(size)
+                    at, hashes, verbatim = found.windows(size)
                     if only is not None:
                         near = np.flatnonzero(coarse[hashes & np.uint64((1 << 22) - 1)])
                         near = near[_among(hashes[near], only)]
-                        at, hashes = at[near], hashes[near]
+                        at, hashes, verbatim = at[near], hashes[near], verbatim[near]
                     if len(at):
-                        yield pa.RecordBatch.from_arrays(found.rows(at, hashes, size, batch.column("doc_id")[a:b]), names=NAMES)
+                        yield pa.RecordBatch.from_arrays(found.rows(at, hashes, verbatim, size, batch.column("doc_id")[a:b]), names=NAMES)
 
     return docs.select("doc_id", "text").mapInArrow(run, WINDOWS)
 
@@ -187,20 +195,29 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_words: in
     pairs = F.transform(
         F.arrays_zip("item_slots", "slots"), lambda z: F.struct(z["item_slots"]["value"].alias("theirs"), z["slots"]["value"].alias("ours"))
     )
+    verbatim, stretch = F.size("slots") == 0, F.sequence(F.col("item_at"), F.col("item_at") + F.col("size") - 1)
     runs = matched.groupBy(*run).agg(
-        F.array_distinct(F.flatten(F.collect_set(F.sequence(F.col("item_at"), F.col("item_at") + F.col("size") - 1)))).alias("places"),
+        F.array_distinct(F.flatten(F.collect_set(stretch))).alias("places"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(verbatim, stretch)))).alias("copied"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("values"),
         F.min("at").alias("first_word"),
+        F.min(F.when(verbatim, F.col("at"))).alias("first_copied"),
     )
     consistent = F.size("values") == F.size(F.array_distinct(F.transform("values", lambda v: v["theirs"])))
-    covered = F.size(F.array_distinct(F.flatten(F.collect_list("places"))))
+    words = lambda places: F.size(F.array_distinct(F.flatten(F.collect_list(places))))
     changed = F.size(F.filter("values", lambda v: v["theirs"] != v["ours"]))
     return (
-        runs.where(consistent)
+        runs.withColumn("consistent", consistent)
+        .where(F.col("consistent") | (F.size("copied") > 0))
         .groupBy("doc_id", "item_id", "words")
-        .agg(covered.alias("n_covered"), F.min("first_word").alias("first_word"), F.max(changed).alias("n_changed"))
+        .agg(
+            words(F.when(F.col("consistent"), F.col("places")).otherwise(F.col("copied"))).alias("n_covered"),
+            words(F.when(F.col("consistent"), F.col("places"))).alias("n_consistent"),
+            F.min(F.when(F.col("consistent"), F.col("first_word")).otherwise(F.col("first_copied"))).alias("first_word"),
+            F.max(changed).alias("n_changed"),
+        )
         .withColumn("share", F.col("n_covered") / F.col("words"))
-        .where((F.col("n_covered") >= min_words) | (F.col("share") >= min_share))
+        .where((F.col("n_covered") >= min_words) | (F.col("n_consistent") / F.col("words") >= min_share))
         .groupBy("doc_id", "item_id")
         .agg(*[F.max(c).cast("bigint").alias(c) for c in ("n_covered", "first_word", "n_changed")], F.max("share").alias("share"))
     )

@@ -70,3 +70,22 @@ def test_empty(spark):
     assert found.count() == 0
     docs, none, found = run(spark, [(1, ITEM)], [])
     assert found.count() == 0 and decontaminate.clean(docs, none).count() == 1
+
+
+def test_verbatim_copies_whatever_the_slots_say(spark):
+    """Word for word but for one of two equal numbers; behind a word without a full stop; lower-cased or
+    wrapped at other lines."""
+    long = (
+        "A farmer keeps 12 hens in the yard behind the old barn and sells their eggs at the market each morning before the "
+        "first bus arrives while a neighbour helps with the feed and the water because the well is far away from the "
+        "gate and when the week is over they count the 12 hens again and write the sum down on a board"
+    )
+    short, names = "What is the capital of France", "tell us when Anna met Bert and Carl with Dora near Essen"
+    rows = [
+        (1, long.replace("the 12 hens", "the 13 hens")), (2, f"now we ask {short} and wait"), (3, f"so {names.lower()} then"),
+        (4, "so " + names.replace(" Anna", "\nAnna").replace(" Carl", "\nCarl") + " then"), (5, "now we ask What is the colour of France and wait"),
+    ]
+    _, _, found = run(spark, rows, [(1, long), (2, short), (3, names)])
+    got = {(r["doc_id"], r["item_id"]): r for r in found.collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 3)}
+    assert got[2, 2]["share"] == got[3, 3]["share"] == got[4, 3]["share"] == 1.0 and got[2, 2]["first_word"] == 3
