@@ -19,7 +19,8 @@ hold their hashes and drop other windows before the join; with more, all windows
 Defined cases. Words are runs of ASCII letters and digits and of all other characters beyond ASCII.
 Null or empty texts have no words. An item of fewer than ``SHORTEST`` words proves nothing and is left
 out; one shorter than a window is one window as a whole. Rows that repeat a doc_id or an item_id are
-taken together. Empty tables give empty results. Texts are read whole; other columns play no part.
+taken together, in ``leaks`` also those without one; ``clean`` judges rows without a doc_id by their own
+text. Empty tables give empty results. Texts are read whole; other columns play no part.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.llm.graph import join_sized
-from affinity.llm.text import hash_spans, lower_table, rolling, slices, text_bytes, word_spans
+from affinity.llm.text import hash_spans, id_or_text_hash, lower_table, rolling, slices, text_bytes, word_spans
 from affinity.session import materialize
 
 WINDOW = 8
@@ -225,5 +226,7 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_words: in
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that no item contaminates, with their own columns."""
-    found = materialize(leaks(docs, items).select("doc_id").distinct(), "benchmark-leaks")
-    return join_sized(docs, found, "doc_id", "left_anti")
+    key = id_or_text_hash()
+    found = leaks(docs.select(key.alias("doc_id"), "text"), items)
+    found = materialize(found.select(F.col("doc_id").alias("__key")).distinct(), "benchmark-leaks")
+    return join_sized(docs.withColumn("__key", key), found, "__key", "left_anti").select(*docs.columns)

@@ -10,7 +10,7 @@ All of it runs in the JVM.
 
 Defined cases. Null or empty text: no candidate. Every occurrence is a finding; equal rows give equal
 findings; a text is read whole. Empty tables give empty results. Columns beyond doc_id and text play no
-part, but ``redact`` returns them. A corpus without words has no frequent letter groups (cover 0).
+part, but ``redact`` returns them; it knows rows without a doc_id by a 64-bit hash of their text. A corpus without words has no frequent letter groups (cover 0).
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.llm.graph import join_sized
-from affinity.llm.text import let, space_words
+from affinity.llm.text import id_or_text_hash, let, space_words
 from affinity.session import materialize
 
 CANDIDATE = r"[A-Za-z0-9_+/=\-]{16,}"
@@ -162,12 +162,14 @@ def findings(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 
 def redact(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """``docs`` with every secret replaced by a mark in its text; all rows and columns stay."""
-    found = scan(docs, labelled).where("secret").groupBy("doc_id").agg(F.collect_set("candidate").alias("__secrets"))
+    key = id_or_text_hash()
+    found = scan(docs.select(key.alias("doc_id"), "text"), labelled).where("secret")
+    found = found.groupBy(F.col("doc_id").alias("__key")).agg(F.collect_set("candidate").alias("__secrets"))
     found = materialize(found, "secret-found")
     # longer ones first, so that none is cut by a shorter one within it
     ordered = F.transform(
         F.sort_array(F.transform("__secrets", lambda s: F.struct(F.length(s).alias("n"), s.alias("s"))), asc=False), lambda x: x["s"]
     )
     replaced = F.aggregate(ordered, F.col("text"), lambda text, s: F.replace(text, s, F.lit(MARK)))
-    rows = join_sized(docs, found, "doc_id", "left", row_bytes=512)
+    rows = join_sized(docs.withColumn("__key", key), found, "__key", "left", row_bytes=512)
     return rows.withColumn("text", F.when(F.col("__secrets").isNull(), F.col("text")).otherwise(replaced)).select(*docs.columns)

@@ -19,6 +19,11 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def id_or_text_hash() -> Column:
+    """doc_id, or in rows without one a hash of their text: a key that such rows can be joined by."""
+    return F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text"))
+
+
 def space_words(text: Column) -> Column:
     """The words between white space, as an array; null has none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE))

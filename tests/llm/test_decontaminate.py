@@ -89,3 +89,11 @@ def test_verbatim_copies_whatever_the_slots_say(spark):
     got = {(r["doc_id"], r["item_id"]): r for r in found.collect()}
     assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 3)}
     assert got[2, 2]["share"] == got[3, 3]["share"] == got[4, 3]["share"] == 1.0 and got[2, 2]["first_word"] == 3
+
+
+def test_rows_without_doc_id_are_cleaned_by_their_own_text(spark):
+    rows = [(None, f"so {ITEM}"), (None, "nothing of it"), (None, None), (1, ITEM), (2, "nothing of it")]
+    docs, bench, _ = run(spark, rows, [(1, ITEM)])
+    left = decontaminate.clean(docs, bench)
+    assert left.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted([rows[1], rows[2], rows[4]], key=str)

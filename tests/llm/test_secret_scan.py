@@ -55,3 +55,12 @@ def test_planted_lines_of_the_test_documents(spark):
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id bigint, text string")
     assert secret_scan.findings(none).count() == 0 and secret_scan.redact(none).count() == 0
+
+
+def test_rows_without_doc_id_are_redacted(spark):
+    rows = docs(spark).where("doc_id is not null").union(docs(spark).where("doc_id = 1").selectExpr("cast(null as bigint)", "text", "length", "candidate"))
+    rows = rows.union(docs(spark).where("doc_id is null"))
+    after = secret_scan.redact(rows)
+    texts = [r["text"] for r in after.where("doc_id is null").collect()]
+    assert after.columns == rows.columns and after.count() == rows.count()
+    assert sorted(texts) == sorted([WORDS, f'{WORDS} token = "{secret_scan.MARK}" {WORDS}'])
