@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from affinity.llm import (
-    bpe, decontaminate, jaccard_join, language_id, license_scan, lm_scoring, quality_rules, secret_scan, sql, suffix_dedup,
-    url_filter,
+    bpe, decontaminate, hard_negatives, jaccard_join, language_id, license_scan, lm_scoring, quality_rules, secret_scan, sql,
+    suffix_dedup, token_alignment, topk_products, url_filter,
 )
 from affinity.llm.text import table
 from affinity.plans.registry import query
@@ -71,3 +71,22 @@ def op4(spark, sf):
 def op1(spark, sf):
     out = suffix_dedup.dedup(table(spark, sf, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_topk_products", sql.TOPK_PRODUCTS)
+def op11(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    return topk_products.search(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+@query("op12_hard_negatives", sql.HARD_NEGATIVES)
+def op12(spark, sf):
+    label = F.col("label").cast("bigint")
+    vectors = table(spark, sf, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query("op13_token_alignment")
+def op13(spark, sf, a=None, b=None):
+    a, b = a or public_tokenizers.path("byte_bpe_50k.json"), b or public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.align(table(spark, sf, "documents"), a, b)

@@ -41,6 +41,31 @@ JACCARD_JOIN = rf"""with recursive w as (select doc_id, list_filter(regexp_split
   from r left join n using (doc_id) group by doc_id"""
 
 
+_WHOLE = """list_transform(embedding, lambda x: floor(256 * x::double)::bigint) v"""
+_TAKES_PART = """vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"""
+_PRODUCT = """coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])), 0)::bigint"""
+
+TOPK_PRODUCTS = f"""with w as materialized (select vec_id, min(v) v
+    from (select vec_id, {_WHOLE} from embeddings where {_TAKES_PART}) group by 1),
+  s as (select a.vec_id query_id, b.vec_id, {_PRODUCT} score
+    from w a join w b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0)
+  select query_id, r::integer "rank", vec_id, score
+  from (select *, row_number() over (partition by query_id order by score desc, vec_id) r from s) where r <= 5"""
+
+HARD_NEGATIVES = f"""with l as (select vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label end label,
+    {_WHOLE} from embeddings where label is not null and {_TAKES_PART}),
+  w as materialized (select vec_id, x.label, x.v from (select vec_id, min({{'label': label, 'v': v}}) x from l group by 1)),
+  s as materialized (select a.vec_id anchor_id, b.vec_id, a.label = b.label same, {_PRODUCT} score
+    from w a join w b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+  p as (select anchor_id, vec_id positive_id, score positive_score from (select *,
+    row_number() over (partition by anchor_id order by score desc, vec_id) r from s where same) where r <= 5),
+  n as (select anchor_id, positive_id, vec_id negative_id, positive_score, score negative_score,
+    row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) r
+    from p join s using (anchor_id) where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score)
+  select anchor_id, positive_id, r::integer "rank", negative_id, positive_score, negative_score from n where r <= 10"""
+
+
 def _license_scan() -> str:
     rows = []
     for t, (label, text) in enumerate(license_scan.TEMPLATES):
