@@ -9,7 +9,7 @@ packed query chunks with packed item blocks, both of bounded size.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -556,6 +556,16 @@ def build_index(
     return InvertedFile(_cells(rows, np.array(model.clusterCenters())), metric)
 
 
+def nearest_cells(nprobe: int, metric: str):
+    """For ``_route``: the ``nprobe`` cells with the nearest centres."""
+
+    def nearest(q, need, floor, centres, radius):
+        near = _scores(q, centres, metric)
+        return list(np.argsort(-near, axis=1, kind="stable")[:, :nprobe].astype(np.int32))
+
+    return nearest
+
+
 def search_index(
     index: InvertedFile,
     queries: DataFrame,
@@ -563,22 +573,40 @@ def search_index(
     nprobe: int,
     query_id: str = "query_id",
     vector: str = "embedding",
+    allowed: DataFrame | None = None,
+    seen: DataFrame | None = None,
+    exclude_self: bool = False,
+    item_id: str = "item_id",
 ) -> DataFrame:
-    """Top-``k`` among the items of the ``nprobe`` nearest clusters of each query."""
-    metric = index.metric
-    asked = prepared_vectors(queries, query_id, vector, metric).select(
-        "_id", "_vec", F.lit(k).cast("bigint").alias("_need"),
-        F.lit(float("-inf")).alias("_floor"),
-    )
+    """Top-``k`` among the items of the ``nprobe`` nearest clusters of each query.
 
-    def nearest(q, need, floor, centres, radius):
-        near = _scores(q, centres, metric)
-        return list(np.argsort(-near, axis=1, kind="stable")[:, :nprobe].astype(np.int32))
+    ``allowed`` (item ids, in a column named ``item_id``) filters the items before they are scored;
+    ``seen`` (query id, item id) and ``exclude_self`` drop known pairs, for which a query asks for as
+    many more, so ``k`` remain whenever the visited clusters have them. With all clusters visited
+    the result is exact.
+    """
+    metric, cells = index.metric, index.cells
+    if allowed is not None:
+        wanted = allowed.select(F.col(item_id).cast("bigint").alias("_id")).distinct()
+        cells = replace(cells, items=cells.items.join(wanted, "_id", "left_semi"))
+    need = F.lit(k + (1 if exclude_self else 0)).cast("bigint")
+    asked = prepared_vectors(queries, query_id, vector, metric)
+    if seen is not None:
+        known = seen.select(
+            F.col(query_id).cast("bigint").alias("_id"), F.col(item_id).cast("bigint").alias("_i")
+        ).distinct()
+        asked = asked.join(known.groupBy("_id").agg(F.count("*").alias("_known")), "_id", "left")
+        need = need + F.coalesce("_known", F.lit(0))
+    asked = asked.select("_id", "_vec", need.alias("_need"), F.lit(float("-inf")).alias("_floor"))
 
-    hits = _visit(_route(asked, index.cells, nearest), index.cells, queries.count(), metric)
+    hits = _visit(_route(asked, cells, nearest_cells(nprobe, metric)), cells, queries.count(), metric)
+    if exclude_self:
+        hits = hits.where(F.col("_q") != F.col("_i"))
+    if seen is not None:
+        hits = hits.join(known.withColumnRenamed("_id", "_q"), ["_q", "_i"], "left_anti")
     ranked = best_per_group(hits, ["_q"], [F.desc("_score"), "_i"], k, "rank")
     return ranked.select(
-        F.col("_q").alias(query_id), F.col("_i").alias("item_id"),
+        F.col("_q").alias(query_id), F.col("_i").alias(item_id),
         F.col("_score").alias("score"), F.col("rank").cast("bigint").alias("rank"),
     )
 

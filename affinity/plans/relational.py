@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from affinity.operators import checks, features, interactions, runs, sampling, towers
 from affinity.plans import stand_ins as S
 from affinity.plans.registry import query
-from affinity.sources import keyed_tables, readers, synthetic, writers
+from affinity.sources import bucketed, keyed_tables, readers, synthetic, writers
 from affinity.session import scratch_path
 
 
@@ -78,6 +78,63 @@ def snapshot_changes(spark, sf):
     return keyed_tables.snapshot_changes(old, new, ["order_id"])
 
 
+ACCOUNTS = """new as (select o_custkey user_id, round(sum(o_totalprice),2) "value", 'orders' source
+      from orders where o_orderstatus = 'F' group by 1),
+    cur as (select c_custkey user_id, c_acctbal "value", 'account' source from customer)"""
+
+
+def _accounts(spark, sf):
+    """Account balances, and the order totals that replace some of them."""
+    current = S.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.col("c_acctbal").alias("value"), F.lit("account").alias("source")
+    )
+    totals = S.table(spark, sf, "orders").where(F.col("o_orderstatus") == "F").groupBy(F.col("o_custkey").alias("user_id"))
+    return current, totals.agg(F.round(F.sum("o_totalprice"), 2).alias("value")).withColumn("source", F.lit("orders"))
+
+
+@query(
+    "feature_table_merge",
+    f"""with {ACCOUNTS} select * from new where user_id % 11 <> 0 union all
+      select * from cur where user_id % 5 <> 0 and user_id not in (select user_id from new where user_id % 11 <> 0)""",
+)
+def feature_table_merge(spark, sf):
+    """A bucketed table after a merge with deletes, opened anew and read from its files."""
+    current, new = _accounts(spark, sf)
+    path = scratch_path(spark, "feature-table")
+    table = bucketed.create(current, path, ["user_id"])
+    table.merge(new.where("user_id % 11 <> 0"), delete=current.where("user_id % 5 = 0"))
+    return bucketed.open_table(spark, path).read()
+
+
+ACCOUNT_CHANGES = f"""with {ACCOUNTS},
+    n as (select * from new where user_id % 16 = 3 union all
+      select * from cur where user_id % 100 <> 7 and user_id not in (select user_id from new where user_id % 16 = 3)),
+    j as (select coalesce(cur.user_id, n.user_id) user_id, cur.user_id a, n.user_id b, cur."value" v, cur.source s,
+      n."value" w, n.source t from cur full join n on cur.user_id = n.user_id
+      where cur."value" is distinct from n."value" or cur.source is distinct from n.source)
+  select user_id, 'insert' change_type, w "value", t source from j where a is null
+  union all select user_id, 'delete', v, s from j where b is null
+  union all select user_id, 'update_preimage', v, s from j where a is not null and b is not null
+  union all select user_id, 'update_postimage', w, t from j where a is not null and b is not null"""
+
+
+@query("version_changes", ACCOUNT_CHANGES)
+def version_changes(spark, sf):
+    """Changes between two states of a bucketed table, read from the buckets whose digests differ."""
+    current, new = _accounts(spark, sf)
+    table = bucketed.create(current, scratch_path(spark, "feature-table"), ["user_id"])
+    later = table.merge(new.where("user_id % 16 = 3"), delete=current.where("user_id % 100 = 7"))
+    return keyed_tables.version_changes(table, later)
+
+
+@query("digest_changes", ACCOUNT_CHANGES)
+def digest_changes(spark, sf):
+    """The same changes between two plain snapshots, of which only parts with different digests are compared."""
+    current, new = _accounts(spark, sf)
+    later = keyed_tables.upsert(current.where("user_id % 100 <> 7"), new.where("user_id % 16 = 3"), ["user_id"])
+    return keyed_tables.digest_changes(current, later, ["user_id"])
+
+
 @query(
     "synth_wide",
     "select o_orderkey id, "

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from affinity.functions.vectors import cosine as cosine_of
 from affinity.functions.vectors import dot as dot_of
-from affinity.operators import features, retrieval, towers
+from affinity.operators import features, index_store, retrieval, towers
 from affinity.plans import stand_ins as S
 from affinity.plans.encoding import ITEM_TEXT, TEXT_DIM, text_sql
 from affinity.plans.registry import query
 from affinity.sources import keyed_tables
-from affinity.session import materialize
+from affinity.session import materialize, scratch_path
 
 VEC = """vec as materialized (select vec_id, "label", embedding::double[] v from embeddings)"""
 DOT = "list_dot_product(q.v, i.v)"
@@ -224,3 +224,68 @@ def index_sync(spark, sf):
     )
     changes = keyed_tables.snapshot_changes(old, new, ["item_id"])
     return retrieval.sync_index(index, changes, centres).select("item_id", "cell")
+
+
+def _stored_index(spark, sf, metric: str) -> str:
+    """An index of the old vectors, stored and then brought up to date with the changes to the new ones."""
+    old, new = index_snapshots(spark, sf)
+    path = scratch_path(spark, "stored-index")
+    index_store.create(old, path, PIVOTS, metric)
+    index_store.sync(spark, path, keyed_tables.snapshot_changes(old, new, ["item_id"]))
+    return path
+
+
+STORED_SEARCH = f"""with {VEC}, kept as (select * from vec where "label" <> 1)
+  select query_id, item_id, score+0.0::double score, "rank" from {topk_sql('vec', 'kept', 'vec_id', 'vec_id', DOT, 10)}"""
+
+
+@query("index_store_search", STORED_SEARCH)
+def index_store_search(spark, sf):
+    """All cells of the synced index are probed, so the result is that of the exact search."""
+    path = _stored_index(spark, sf, "dot")
+    return _shown(index_store.search(spark, path, _vectors(spark, sf, "query_id"), 10, PIVOTS))
+
+
+@query(
+    "index_store_filtered",
+    f"""with {VEC}, kept as (select * from vec where "label" <> 1 and "label" % 2 = 1)
+      select query_id, item_id, score+0.0::double score, "rank" from
+      {topk_sql('vec', 'kept', 'vec_id', 'vec_id', COSINE, 10,
+                'q.vec_id <> i.vec_id and i.vec_id % 7 <> q.vec_id % 7')}""",
+)
+def index_store_filtered(spark, sf):
+    """The compacted index, searched among items of odd labels, without the query's own and the seen items."""
+    path = _stored_index(spark, sf, "cosine")
+    index_store.compact(spark, path)
+    index_store.vacuum(spark, path)
+    rows = _vectors(spark, sf, "item_id")
+    asked = _vectors(spark, sf, "query_id")
+    seen = asked.select("query_id", F.pmod("query_id", F.lit(7)).alias("m")).join(
+        rows.select("item_id", F.pmod("item_id", F.lit(7)).alias("m")), "m"
+    )
+    return _shown(index_store.search(
+        spark, path, asked, 10, PIVOTS, allowed=rows.where("label % 2 = 1"), seen=seen, exclude_self=True,
+    ))
+
+
+RECALL_PROBES = 12  # of 16 cells; the vectors have no clusters, so near ones lie in many cells
+
+
+@query(
+    "index_store_recall",
+    f"""with {VEC}, kept as (select * from vec where "label" <> 1)
+      select count(distinct query_id) queries, count(*) wanted, true reached from
+      {topk_sql('vec', 'kept', 'vec_id', 'vec_id', COSINE, 10)}""",
+)
+def index_store_recall(spark, sf):
+    """Whether a search of some cells finds nine tenths of what the exact search finds."""
+    path = _stored_index(spark, sf, "cosine")
+    asked = _vectors(spark, sf, "query_id")
+    exact = materialize(
+        retrieval.topk(asked, index_snapshots(spark, sf)[1], 10, "cosine").select("query_id", "item_id"), "exact"
+    )
+    found = index_store.search(spark, path, asked, 10, RECALL_PROBES).select("query_id", "item_id", F.lit(1).alias("hit"))
+    return exact.join(found, ["query_id", "item_id"], "left").agg(
+        F.count_distinct("query_id").alias("queries"), F.count("*").alias("wanted"),
+        (F.count("hit") >= 0.9 * F.count("*")).alias("reached"),
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from affinity.operators import towers
+from affinity.operators import index_store, towers
 from affinity.plans import retrieval as R
 from affinity.plans import stand_ins as S
 from affinity.plans.registry import query
@@ -46,6 +46,20 @@ def index_sync_stream(spark, sf):
     return incremental.read_index(spark, path).select("item_id", "cell")
 
 
+@query("index_store_stream", R.STORED_SEARCH)
+def index_store_stream(spark, sf):
+    """A stored index of no vectors takes in the old ones and then the changes as a stream; all cells are searched."""
+    old, new = R.index_snapshots(spark, sf)
+    feed, path, log = (scratch_path(spark, n) for n in ("index-changes", "stored-index", "stored-index-log"))
+    index_store.create(old.limit(0), path, metric="dot", centres=R.index_pivots(spark, sf))
+    loads = old.select("*", F.lit("insert").alias("change_type"), F.lit(0).alias("seq"))
+    changes = keyed_tables.snapshot_changes(old, new, ["item_id"]).withColumn("seq", F.lit(1))
+    for rows in (loads, changes):
+        rows.select(*loads.columns).write.mode("append").parquet(feed)
+        incremental.sync_stored_index(incremental.file_stream(spark, feed, loads.schema), path, log)
+    return R._shown(index_store.search(spark, path, R._vectors(spark, sf, "query_id"), 10, R.PIVOTS))
+
+
 @query(
     "score_stream",
     f"""with {S.DETAIL}, {S.USER_VEC}, {S.ITEM_VEC} select order_id, add_to_cart_order, user_id,

@@ -1,9 +1,9 @@
 """Incremental jobs over growing file tables, each run to the end of its input and stopped.
 
-Sinks are folders with one ``stream=S/batch=N`` directory per micro-batch, S being a name that is
-kept with the checkpoint. A replayed batch overwrites its own directory, so a restart leaves the
-table as it was, and a stream with another checkpoint never touches what is stored; a trigger
-writes only what is new and readers merge by key.
+A stream has a name that is kept with its checkpoint. Positives and stored indexes are tables in numbered
+states that name the last batch of each stream, so a replayed batch changes nothing. The plain index log has
+one ``stream=S/batch=N`` directory per micro-batch: a replayed batch overwrites its own directory, a stream
+with another checkpoint never touches what is stored, and readers merge by key.
 """
 
 from __future__ import annotations
@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from affinity.operators import index_store
 from affinity.operators.retrieval import assign_cells, prepared_vectors
+from affinity.sources import bucketed
 
 
 def file_stream(
@@ -82,25 +84,37 @@ PAIRS = T.StructType(
 )
 
 
-def sync_positives(pairs: DataFrame, path: str, checkpoint: str) -> None:
+def sync_positives(pairs: DataFrame, path: str, checkpoint: str, buckets: int = bucketed.BUCKETS) -> None:
     """Append the (user, item) pairs of a stream that are not stored yet.
 
-    The stored table is the state, so nothing is kept in the memory of the query. Each
-    trigger reads the stored pairs once for its anti-join.
+    The stored table is the state, so nothing is kept in the memory of the query. It is held in
+    hash buckets of the users, and a trigger reads the buckets of its own users only. Its state
+    names the last batch of each stream, so a batch that is replayed is left out.
     """
 
     name = _stream_name(pairs.sparkSession, checkpoint)
 
     def each(batch: DataFrame, number: int) -> None:
-        known = _stored(batch.sparkSession, path, PAIRS, (name, number)).select(*PAIRS.names)
-        fresh = batch.select(*PAIRS.names).distinct().join(known, PAIRS.names, "left_anti")
-        _write_batch(fresh, path, name, number)
+        spark = batch.sparkSession
+        table = bucketed.open_table(spark, f"{path}/table")
+        if table is None:
+            before = _batches_of_pairs(spark, path).distinct()
+            table = bucketed.create(before, f"{path}/table", PAIRS.names, by=["user_id"], buckets=buckets)
+        table.append_new(batch.select(*PAIRS.names), (name, number))
 
     _run(pairs, each, checkpoint)
 
 
+def _batches_of_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """Pairs that were stored as one folder for each batch, before the table had buckets."""
+    rows = _read(spark.read.schema(PAIRS).option("basePath", path), f"{path}/stream=*")
+    return spark.createDataFrame([], PAIRS) if rows is None else rows.select(*PAIRS.names)
+
+
 def read_positives(spark: SparkSession, path: str) -> DataFrame:
-    return _stored(spark, path, PAIRS).select(*PAIRS.names).withColumn("label", F.lit(1))
+    table = bucketed.open_table(spark, f"{path}/table")
+    rows = _batches_of_pairs(spark, path) if table is None else table.read()
+    return rows.select(*PAIRS.names).withColumn("label", F.lit(1))
 
 
 ENTRIES = T.StructType(
@@ -147,6 +161,16 @@ def sync_index(
     _run(changes, each, checkpoint)
 
 
+def sync_stored_index(changes: DataFrame, path: str, checkpoint: str) -> None:
+    """Bring a stored index (``index_store``) up to date with a stream of row changes.
+
+    ``changes`` is as for ``sync_index``. A trigger writes one segment and the ids it replaces; a
+    search after it sees the whole batch.
+    """
+    name = _stream_name(changes.sparkSession, checkpoint)
+    _run(changes, lambda batch, number: index_store.sync(batch.sparkSession, path, batch, (name, number)), checkpoint)
+
+
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """Current index entries: the last one of each id, unless it is a delete."""
     rows = _stored(spark, path, ENTRIES)

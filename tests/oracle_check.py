@@ -8,6 +8,7 @@ import sys
 import time
 
 import duckdb
+import pandas as pd
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -25,7 +26,7 @@ def duck(sf: str):
 
 
 def cell(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return None
     if hasattr(v, "item"):
         v = v.item()

@@ -98,7 +98,7 @@ def test_split_by_label_keeps_positives_in_train(spark):
 
 def test_checks_raise(spark):
     bad = spark.createDataFrame([(1, "val")], "user_id int, `group` string")
-    with pytest.raises(ValueError, match="without 'train'"):
+    with pytest.raises(ValueError, match="no row to train on"):
         checks.require_train_rows(bad)
     ids = spark.createDataFrame([(0,), (3,)], "id int")
     checks.require_ids_within(ids, "id", 4)
