@@ -55,8 +55,8 @@ class Grams:
         letter = _letter()[points]
         keep = letter.copy()
         keep[1:] |= letter[:-1]  # one blank behind each word
-        owner = np.concatenate((np.repeat(np.arange(len(texts)), lengths), [len(texts) - 1]))
-        # the first place is the blank before the first word; a text's blank stands before it
+        owner = np.concatenate(([0], np.repeat(np.arange(len(texts)), lengths)))  # the blank behind a text is its own
+        # the first place is the blank before the first word of all
         points, owner = np.where(letter, points, BLANK)[keep], owner[keep]
         points, owner = np.concatenate(([BLANK], points)), np.concatenate((owner[:1], owner))
         present = np.zeros(0x110000, dtype=bool)

@@ -51,6 +51,22 @@ def test_equal_brute_force(spark, sf):
         assert got(lang.identify(docs.repartition(3), size)) == brute(rows, size)
 
 
+def test_order_and_partitions_change_nothing(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").unionByName(
+        spark.createDataFrame([(9000, "abc", "en"), (9001, "xyz.", "en"), (9002, "..", "en"), (9003, "de", "fr")], "doc_id bigint, text string, lang string"),
+        allowMissingColumns=True,
+    )
+    one, many = docs.coalesce(1).orderBy("doc_id"), docs.repartition(7).sortWithinPartitions("text")
+    assert got(lang.identify(one)) == got(lang.identify(many))
+
+
+def test_a_text_has_its_own_ngrams_only():
+    both = lang.Grams(["abc", "xyz.", "", "d"], lang.np.arange(4))
+    for i, text in enumerate(["abc", "xyz.", "", "d"]):
+        mine = both.group == i
+        assert dict(zip(both.strings(both.gram[mine]), both.count[mine].tolist())) == counts(text)
+
+
 def test_accuracy_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = lang.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
