@@ -137,6 +137,14 @@ def spans(found: DataFrame, min_cover: float = MIN_COVER) -> DataFrame:
     )
 
 
+def merged(notices: DataFrame) -> DataFrame:
+    """Notices of one label that overlap, as wordings with common words do, as one: row, label, cover (the greatest)."""
+    w = Window.partitionBy("row", "label").orderBy("first_word", "last_word")
+    reach = F.max("last_word").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    runs = notices.withColumn("new", F.when(F.col("first_word") <= reach, 0).otherwise(1)).withColumn("run", F.sum("new").over(w))
+    return runs.groupBy("row", "label", "run").agg(F.max("cover").alias("cover"))
+
+
 def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     """For every row: n_words, places of the base phrases and their labels, labels of both kinds, score."""
     found = matches(docs, templates)
@@ -148,7 +156,7 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
         F.max(start).cast("bigint").alias("last_word"),
         F.collect_set("phrase").alias("base"),
     )
-    notices = spans(found).groupBy("row").agg(
+    notices = merged(spans(found)).groupBy("row").agg(
         F.collect_set("label").alias("more"), F.max("cover").alias("cover"), F.count("*").alias("n_notices")
     )
     none = F.array().cast("array<string>")

@@ -92,10 +92,12 @@ def _license_scan() -> str:
     notices as (select doc_id, label, length, min(diagonal + list_min(ts)) a, max(diagonal + list_max(ts) + 2) z,
       len(list_distinct(flatten(list_transform(flatten(list(ts)), lambda t: [t, t+1, t+2])))) / length::double cover
       from runs group by doc_id, template, label, length, run),
-    found as (select doc_id, label, cover from notices
+    found as (select doc_id, label, a, z, cover from notices
       where cover >= {license_scan.MIN_COVER}::double and z - a < 2 * length),
+    apart as (select *, case when a <= max(z) over (partition by doc_id, label order by a, z
+      rows between unbounded preceding and 1 preceding) then 0 else 1 end new from found),
     b as (select doc_id, count(*) n, min(pos) a, max(pos) z, list(distinct label) ls from base group by 1),
-    m as (select doc_id, count(*) n, max(cover) cover, list(distinct label) ls from found group by 1)
+    m as (select doc_id, sum(new)::bigint n, max(cover) cover, list(distinct label) ls from apart group by 1)
     select doc_id, len(ws)::bigint n_words, coalesce(b.n, 0) n_base, b.a first_word, b.z last_word,
       array_to_string(list_sort(coalesce(b.ls, [])), ',') base_labels,
       array_to_string(list_sort(list_distinct(coalesce(b.ls, []) || coalesce(m.ls, []))), ',') labels,
