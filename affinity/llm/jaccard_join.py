@@ -25,8 +25,8 @@ separates nothing: nearly all distances are 1, from any pivot. So the recursion
 
 Words and sets go through 64-bit hashes. Defined cases: null text, or no word: an empty set, linked
 with nothing; fewer words than n: the whole sequence is the one n-gram. Repeated rows are equal sets
-and so one component. Null doc_id: allowed, sorts last in no comparison (a component's id is the least
-id that isn't null). Empty table: empty result. Columns beyond doc_id and text play no part.
+and so one component. Rows without a doc_id link and connect others like any row; a component's id is the
+least id that isn't null. Empty table: empty result. Columns beyond doc_id and text play no part.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.llm.graph import components, join_sized
-from affinity.llm.text import hash_spans, lower_table, mix, rolling, slices, space_table, text_bytes, word_spans
+from affinity.llm.text import hash_spans, id_or_text_hash, lower_table, mix, rolling, slices, space_table, text_bytes, word_spans
 from affinity.operators.ranking import best_per_group
 from affinity.session import materialize
 
@@ -139,10 +139,11 @@ def _entities(docs: DataFrame, n: int) -> DataFrame:
                 sizes = [len(s) for s in sets]
                 names = [entity(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")[a:b], pa.array(sizes, pa.int64()), pa.array(names, pa.int64())], names=["doc_id", "n_shingles", "entity"]
+                    [batch.column("doc_id")[a:b], batch.column("key")[a:b], pa.array(sizes, pa.int64()), pa.array(names, pa.int64())],
+                    names=["doc_id", "key", "n_shingles", "entity"],
                 )
 
-    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, entity bigint")
+    return docs.select("doc_id", id_or_text_hash().alias("key"), "text").mapInArrow(run, "doc_id bigint, key bigint, n_shingles bigint, entity bigint")
 
 
 def _keys(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -333,7 +334,7 @@ def _region_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                 rest = part.select(["region", "entity"]).take(pa.array(right, pa.int64()))
                 yield pa.RecordBatch.from_arrays([*rest.columns, lists], names=["region", "entity", "shingles"])
 
-    joined = join_sized(docs, wanted, "doc_id")
+    joined = join_sized(docs.withColumn("key", id_or_text_hash()), wanted, "key")
     return joined.select("region", "entity", "text").mapInArrow(run, SETS)
 
 
@@ -408,7 +409,7 @@ def links(docs: DataFrame, entities: DataFrame, n: int, num: int, den: int, regi
     regions = components(_candidates(docs, n, num, den))
     wanted = materialize(
         entities.join(regions, entities["entity"] == regions["node"]).groupBy("entity")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("root").alias("region")),
+        .agg(F.min("key").alias("key"), F.first("root").alias("region")),
         "jaccard-wanted",
     )
     sets = materialize(_region_sets(docs, wanted, n), "jaccard-sets")

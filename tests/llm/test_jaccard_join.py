@@ -82,6 +82,15 @@ def test_keep_one(spark):
     assert sorted(got) == sorted(want)
 
 
+def test_a_row_without_an_id_connects_others(spark):
+    words = [f"w{i}" for i in range(60)]
+    text = lambda a, b: " ".join(words[a:b])
+    rows = [(1, text(0, 44)), (None, text(4, 48)), (2, text(8, 52)), (3, text(30, 60)), (None, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(tuple(r) for r in jaccard_join.join(docs, 3, 80, 100).where("doc_id is not null").collect())
+    assert got == brute(rows, 3, 80, 100) == [(1, 42, 1), (2, 42, 1), (3, 28, 3)]
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert jaccard_join.join(docs, 3, 90, 100).count() == 0
