@@ -14,10 +14,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinity.session import materialize, parallelism
+from affinity.operators.ranking import dense_index
+from affinity.session import parallelism
 
 SCALE = 256
 ITEMS_PER_GROUP = 65_536
+LEAST_PER_GROUP = 512  # a group answers each query with its best rows, so small ones cost more than they spread
 QUERIES_PER_CHUNK = 16_384
 LARGEST = 2.0**62  # of a squared length: products of two vectors within it fit a long
 
@@ -79,9 +81,11 @@ def whole_numbers(rows: DataFrame, key: str, vector: str, *keep: str) -> DataFra
 
 
 def grouped(items: DataFrame, order: list[Column | str], n_items: int, per_group: int = ITEMS_PER_GROUP) -> DataFrame:
-    """``items`` with ``_group``: ranges of ``order``, which must tell all rows apart, of about ``per_group`` rows or less."""
-    n_groups = max(parallelism(items.sparkSession), -(-n_items // per_group))
-    return materialize(items.repartitionByRange(n_groups, *order).withColumn("_group", F.spark_partition_id()), "groups")
+    """``items`` with ``_group``: ranges of ``order``, which must tell all rows apart, of ``per_group`` rows at most."""
+    share = -(-n_items // parallelism(items.sparkSession))
+    rows = min(per_group, max(LEAST_PER_GROUP, share))
+    placed = dense_index(items, order, "_place")
+    return placed.withColumn("_group", F.floor(F.col("_place") / rows).cast("int")).drop("_place")
 
 
 def meet(queries: DataFrame, items: DataFrame, score: Callable, schema: str, per_chunk: int = QUERIES_PER_CHUNK) -> DataFrame:
