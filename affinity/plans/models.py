@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from affinity.operators import factors, features, sampling, towers, trees
+from affinity.functions.vectors import dot
+from affinity.operators import factors, features, sampling, skew, tower_training, towers, trees
 from affinity.plans import stand_ins as S
 from affinity.plans.registry import query
 from affinity.session import materialize
@@ -163,6 +164,102 @@ def factor_epoch(spark, sf):
     return S.long_form(stepped, ["side", "id"], "v")
 
 
+NET_DIM, NET_WIDTH, NET_STEPS, NET_LR, NET_VECTOR_LR = 3, 2, 2, 0.05, 0.1
+
+
+def tower_steps_sql() -> str:
+    """Two training steps of one-layer towers, written out element by element."""
+    dims, width = range(NET_DIM), range(NET_WIDTH)
+    weights = {side: [f"{side}w{i}_{j}" for i in dims for j in width] + [f"{side}b{j}" for j in width] for side in "ui"}
+    every = weights["u"] + weights["i"]
+    start = []
+    for n, side in enumerate("ui"):
+        start += [f"({S.uniform(S.SEED + n, 0, i, j)}-0.5)*2 {side}w{i}_{j}" for i in dims for j in width]
+        start += [f"({S.uniform(S.SEED + n, 0, -1, j)}-0.5)*2 {side}b{j}" for j in width]
+    start += [f"0.0::double {k}_{x}" for x in every for k in "mv"]
+    parts = [S.PAIRS, "rows_ as (select count(*) n from pairs)", f"net0 as materialized (select {', '.join(start)})"]
+    for side, name, key in (("u", "user", "user_id"), ("i", "item", "product_id")):
+        cols = ", ".join(f"({S.uniform(S.SEED, repr(name), key, j)}-0.5)*2 v{j}" for j in dims)
+        parts.append(f"{side}0 as materialized (select {key} id, {cols}, 0.0::double acc from (select distinct {key} from pairs))")
+    for k in range(NET_STEPS):
+        hidden = ", ".join(
+            "greatest(" + "+".join(f"{side}.v{i}*{side}w{i}_{j}" for i in dims) + f"+{side}b{j}, 0) {side}h{j}" for side in "ui" for j in width
+        )
+        vectors = ", ".join(f"{side}.v{j} {side}{j}" for side in "ui" for j in dims)
+        logit = "+".join(f"uh{j}*ih{j}" for j in width)
+        back = ", ".join(f"case when {a}h{j} > 0 then e*{b}h{j} else 0 end {a}d{j}" for a, b in ("ui", "iu") for j in width)
+        parts.append(f"""f{k} as materialized (select *, {back} from (select *, (1/(1+exp(-({logit})))-"label")/n e from
+          (select user_id, product_id, "label", n, net{k}.*, {vectors}, {hidden} from pairs join u{k} u on u.id = user_id
+            join i{k} i on i.id = product_id, net{k}, rows_)))""")
+        sums = [f"sum({side}d{j}*{side}{i}) {side}w{i}_{j}" for side in "ui" for i in dims for j in width]
+        sums += [f"sum({side}d{j}) {side}b{j}" for side in "ui" for j in width]
+        parts.append(f"g{k} as materialized (select {', '.join(sums)} from f{k})")
+        moments = ", ".join(f"0.9::double*n.m_{x}+0.1::double*g.{x} m_{x}, 0.999::double*n.v_{x}+0.001::double*g.{x}*g.{x} v_{x}" for x in every)
+        parts.append(f"a{k} as (select {moments}, {', '.join(f'n.{x}' for x in every)} from net{k} n, g{k} g)")
+        t = k + 1
+        moved = ", ".join(
+            f"{x}-{NET_LR}::double*(m_{x}/(1-0.9::double**{t}))/(sqrt(v_{x}/(1-0.999::double**{t}))+1e-8::double) {x}, m_{x}, v_{x}" for x in every
+        )
+        parts.append(f"net{t} as materialized (select {moved} from a{k})")
+        for side, key in (("u", "user_id"), ("i", "product_id")):
+            grads = ", ".join("sum(" + "+".join(f"{side}d{j}*{side}w{i}_{j}" for j in width) + f") g{i}" for i in dims)
+            square = "(" + "+".join(f"g{i}*g{i}" for i in dims) + f")/{NET_DIM}"
+            new = ", ".join(f"v{i}-{NET_VECTOR_LR}::double/(sqrt(acc+{square})+1e-8::double)*g{i} v{i}" for i in dims)
+            parts.append(f"{side}g{k} as (select {key} id, {grads} from f{k} group by 1)")
+            parts.append(f"{side}{t} as materialized (select id, {new}, acc+{square} acc from {side}{k} join {side}g{k} using (id))")
+    last = NET_STEPS
+    rows = [
+        f"select '{name}' part, id, {j}::integer \"position\", {S.r6(f'v{j}')} \"value\" from {side}{last}"
+        for side, name in (("u", "user"), ("i", "item")) for j in dims
+    ]
+    for side, name in (("u", "user layer"), ("i", "item layer")):
+        places = [(i, j, f"{side}w{i}_{j}") for i in dims for j in width] + [(-1, j, f"{side}b{j}") for j in width]
+        rows += [f"select '{name}', {i}::bigint, {j}::integer, {S.r6(x)} from net{last}" for i, j, x in places]
+    return f"with {', '.join(parts)} {' union all '.join(rows)}"
+
+
+@query("tower_steps", tower_steps_sql())
+def tower_steps(spark, sf):
+    """Id vectors and layers after two training steps over all pairs; the net is stored and read in between."""
+    pairs = S.frozen_pairs(spark, sf)
+    state = materialize(factors.initial_state(pairs, NET_DIM, S.SEED, 2.0), "tower-vectors")
+    net = tower_training.initial_net(NET_DIM, [NET_WIDTH], S.SEED, 2.0)
+    for _ in range(NET_STEPS):
+        state, net, _ = tower_training.step(pairs, state, net, NET_DIM, NET_LR, NET_VECTOR_LR)
+        net = tower_training.read_net(materialize(net.table(spark), "net"))
+    vectors = S.long_form(state, ["side", "id"], "v").withColumnRenamed("side", "part")
+    layers = net.table(spark).select(
+        F.concat("side", F.lit(" layer")).alias("part"), F.col("row").cast("bigint").alias("id"),
+        F.col("col").alias("position"), S.rounded("value").alias("value"),
+    )
+    return vectors.unionByName(layers)
+
+
+HOT_DETAIL = S.DETAIL + """, d as materialized (select order_id, add_to_cart_order, user_id,
+  case when order_id % 3 = 0 then (select min(p_partkey) from part) when order_id % 100 = 1 then -order_id else product_id end product_id
+  from detail)"""
+
+
+@query(
+    "score_pairs_hot",
+    f"""with {HOT_DETAIL}, {S.USER_VEC}, {S.ITEM_VEC} select order_id, add_to_cart_order, d.user_id, d.product_id,
+      {S.r6('list_dot_product(u.vec, i.vec)')} logit
+      from d left join user_vec u on u.user_id = d.user_id left join item_vec i on i.product_id = d.product_id""",
+)
+def score_pairs_hot(spark, sf):
+    """A third of the rows have one item, some have an unknown one; every row comes back."""
+    items = S.item_vectors(spark, sf)
+    hot = S.products(spark, sf).agg(F.min("product_id")).first()[0]
+    item = F.when(F.col("order_id") % 3 == 0, hot).when(F.col("order_id") % 100 == 1, -F.col("order_id")).otherwise(F.col("product_id"))
+    rows = materialize(
+        S.detail(spark, sf).select("order_id", "add_to_cart_order", "user_id", item.alias("product_id")), "hot-pairs"
+    )
+    vectors = [materialize(v, "vectors") for v in (S.user_vectors(spark, sf), items)]
+    for key, name, v in zip(("user_id", "product_id"), ("u", "w"), vectors):
+        rows = skew.lookup(rows, v.select(key, F.col("embedding").alias(name)), key, how="left")
+    return rows.select("order_id", "add_to_cart_order", "user_id", "product_id", S.rounded(dot("u", "w")).alias("logit"))
+
+
 def _parts(spark, sf):
     split = materialize(S.split(spark, sf), "split")
     return [split.where(F.col("group") == g) for g in ("train", "val", "test")]

@@ -119,12 +119,12 @@ DETAIL = """detail as (select l_orderkey order_id, l_partkey product_id, l_linen
 POS = DETAIL + """, pos as materialized (select distinct user_id, product_id from detail)"""
 
 
-def negatives_sql(per_positive: int = 1, clamp: bool = False, seed: int = SEED) -> str:
+def negatives_sql(per_positive: int = 1, clamp: bool = False, seed: int = SEED, pos: str = POS) -> str:
     want = f"owned*{per_positive}"
     if clamp:
         want = f"least({want}, n-owned)"
     parts = [
-        POS,
+        pos,
         "cat as materialized (select product_id, row_number() over (order by product_id)-1 ix "
         "from (select distinct product_id from pos))",
         f"want as (select user_id, {want} wanted, {want}+owned draws, n, "

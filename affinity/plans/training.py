@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from affinity.operators import batch_negatives as negatives
 from affinity.operators import checks, features, interactions, sampling
 from affinity.plans import stand_ins as S
 from affinity.plans.registry import query
@@ -30,6 +31,48 @@ def negatives_per_positive(spark, sf):
     )
 
 
+SIZES = S.DETAIL + """, pos as materialized (select distinct user_id, p_size product_id
+  from detail join part on p_partkey = product_id)"""
+
+
+@query(
+    "negatives_clamped",
+    f'with {S.negatives_sql(3, clamp=True, pos=SIZES)} select user_id, product_id, 0 "label" from neg',
+)
+def negatives_clamped(spark, sf):
+    """Items are the 50 sizes of parts, of which users own so many that three times as many aren't left."""
+    sizes = S.products(spark, sf).select("product_id", "size")
+    bought = S.detail(spark, sf).select("user_id", "product_id").join(sizes, "product_id")
+    pos = materialize(bought.select("user_id", F.col("size").alias("product_id")).distinct(), "sizes")
+    return sampling.negative_samples(
+        pos, pos.select("product_id").distinct(), seed=S.SEED, per_positive=3, clamp=True
+    )
+
+
+BATCH_ROWS = 2000
+
+
+@query(
+    "batch_negatives",
+    f"""with {S.POS}, cat as materialized (select product_id, row_number() over (order by product_id)-1 ix
+        from (select distinct product_id from pos)),
+      b as materialized (select user_id, product_id, ({S.u32(S.SEED, 'user_id', 'product_id', -1)} %
+        (select ceil(count(*)/{BATCH_ROWS}.0)::bigint from pos))::integer batch from pos),
+      free as materialized (select batch, product_id, row_number() over (partition by batch order by product_id)-1 x
+        from (select distinct batch from b) b, cat
+        where not exists (select 1 from b c where c.batch = b.batch and c.product_id = cat.product_id)),
+      n as (select batch, count(*) f from free group by 1),
+      d as (select b.*, draw, (({S.u32(S.SEED, 'user_id', 'product_id', 'draw')} % 2147483648) * 2147483648 +
+        {S.u32(S.SEED, 'user_id', 'product_id', 'draw', at=1)} % 2147483648) % f x
+        from b join n using (batch), range(2) r(draw))
+      select batch, d.user_id, d.product_id, draw::integer draw, free.product_id negative
+      from d join free using (batch, x)""",
+)
+def batch_negatives(spark, sf):
+    pos = materialize(S.positives(spark, sf), "positives")
+    return negatives.batch_negatives(pos, pos.select("product_id"), 2, BATCH_ROWS, seed=S.SEED)
+
+
 @query("training_pairs", f'with {S.PAIRS} select user_id, product_id, "label" from pairs')
 def training_pairs(spark, sf):
     return S.pairs(spark, sf)
