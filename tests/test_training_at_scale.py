@@ -109,15 +109,18 @@ def test_lookup_of_hot_and_unknown_keys(spark):
 def test_rows_of_a_hot_key_are_not_shuffled(spark):
     rows = materialize(spark.range(60_000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k")), "rows")
     table = materialize(spark.range(60_000).select(F.col("id").alias("k"), F.lit(1).alias("v")), "table")
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
     try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
         joined = skew.lookup(rows, table, "k", limit=64 * 1024)
         assert joined.where("k = 7").count() == 20_001
         share = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
         assert share < 60_000 / 3
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_nth_free_position():
