@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from itertools import chain
 
 import numpy as np
@@ -25,6 +26,7 @@ from affinity.session import materialize
 
 SLICE_BYTES = 1 << 20
 HOT_PAIRS = 100_000  # the most frequent irregular pairs, which tasks hold; the others are joined by a shuffle
+MEMO, MEMO_LETTERS = 500_000, 12_000_000  # pieces whose ids a task remembers, and their characters
 SHIFT = 24  # a pair is one number: A's id, and B's id in the lower bits
 
 
@@ -65,6 +67,23 @@ def identity_map(a: list[bytes], b: list[bytes]) -> np.ndarray:
     return np.array([by_bytes.get(token, -1) if token else -1 for token in a], dtype=np.int64)
 
 
+class _Ids:
+    """Lists of ids by number, end to end."""
+
+    def __init__(self):
+        self.data, self.start, self.size = (np.zeros(0, dtype=np.int64) for _ in range(3))
+
+    def add(self, lists: list[list[int]]) -> None:
+        flat, size = _flat(lists)
+        self.start = np.concatenate((self.start, len(self.data) + np.cumsum(size) - size))
+        self.data, self.size = np.concatenate((self.data, flat)), np.concatenate((self.size, size))
+
+    def join(self, which: np.ndarray) -> np.ndarray:
+        size = self.size[which]
+        at = np.repeat(self.start[which] - (np.cumsum(size) - size), size)
+        return self.data[at + np.arange(len(at))]
+
+
 class _Spans:
     """Byte strings by number, end to end."""
 
@@ -95,6 +114,13 @@ def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(counts.sum())), counts
 
 
+#: A single space between characters that no version of Unicode takes for white space.
+CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
+"""Pieces between such spaces can be encoded apart, each with the space before it: a pre-tokenizer that takes a
+space only before a run of other characters, and a piece vocabulary with U+2581 only at the start of a
+piece, both have a token end there."""
+
+
 def _doc_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     edge, sums = np.concatenate(([0], np.cumsum(counts))), np.concatenate(([0], np.cumsum(values)))
     return sums[edge[1:]] - sums[edge[:-1]]
@@ -190,16 +216,44 @@ class Aligner:
         self.first.no_truncation()
         self.second = sentencepiece.SentencePieceProcessor(model_proto=model)
         a, b = byte_level_tokens(vocabulary), piece_tokens(model)
+        kind = json.loads(vocabulary)
+        before = kind["pre_tokenizer"] or {}
+        splits = kind["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+        splits = splits and all(b" " not in token.lstrip(b" ") for token in b)
+        self.cut = CUT.split if splits else lambda text: [text]
+        self._forget()
         self.same = identity_map(a, b)
         self.a, self.b = _Spans(a), _Spans(b)
         self.numbers = _Spans([str(i).encode() for i in range(max(len(a), len(b)))])
 
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.letters, self.ids = 0, (_Ids(), _Ids())
+
+    def encode(self, texts: list[str]):
+        """Ids end to end and their number by text, of both tokenizers; a piece is encoded once while it is remembered."""
+        if len(self.known) > MEMO or self.letters > MEMO_LETTERS:
+            self._forget()
+        cut = [self.cut(t) for t in texts]
+        every = list(chain.from_iterable(cut))
+        fresh = list(set(every) - self.known.keys())
+        if fresh:
+            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
+            self.letters += sum(map(len, fresh))
+            self.ids[0].add([e.ids for e in self.first.encode_batch_fast([" " + p for p in fresh], add_special_tokens=False)])
+            self.ids[1].add(self.second.encode(fresh, num_threads=1))
+        which = np.fromiter(map(self.known.__getitem__, every), dtype=np.int64, count=len(every))
+        n_pieces = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+        out = []
+        for ids in self.ids:
+            out += [ids.join(which), _doc_sums(ids.size[which], n_pieces)]
+        return out
+
     def figures(self, texts: list[str | None]) -> pa.RecordBatch:
         """A row of ``FIELDS`` for each text."""
         given = np.array([i for i, t in enumerate(texts) if t], dtype=np.int64)
         some = [texts[i] for i in given]
-        a, a_counts = _flat([e.ids for e in self.first.encode_batch_fast([" " + t for t in some], add_special_tokens=False)])
-        b, b_counts = _flat(self.second.encode(some, num_threads=1) if some else [])
+        a, a_counts, b, b_counts = self.encode(some)
         good = faithful([b" " + t.encode() for t in some], a, a_counts, b, b_counts, self.a, self.b)
         a, b = a[np.repeat(good, a_counts)], b[np.repeat(good, b_counts)]
         a_counts, b_counts, rows = a_counts[good], b_counts[good], given[good]

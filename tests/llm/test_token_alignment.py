@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 
 import public_tokenizers
@@ -91,6 +92,23 @@ def test_slices_change_nothing(tools, monkeypatch):
     assert whole == [r for t in TEXTS for r in aligner.figures([t]).to_pylist()]
 
 
+def test_pieces_are_encoded_as_the_whole_text_is(tools, monkeypatch):
+    first, second, _, _ = tools
+    rng = random.Random(4)
+    letters = list(" " * 12 + "aaeetn.,'’\"-_1209\t\n\r\x0b\x1c\x85\xa0\u2003\u2028\u3000▁é×日ßЖ🙂\u200b\ufeffÅ")
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 60))) for _ in range(3000)] + [t for t in TEXTS if t]
+    with open(A, encoding="utf-8") as a, open(B, "rb") as b:
+        aligner = ta.Aligner(a.read(), b.read())
+    assert len(aligner.cut("one two, three  four")) == 3
+    monkeypatch.setattr(ta, "MEMO", 100)
+    aligner.encode(texts[:500])  # is forgotten
+    a, a_counts, b, b_counts = aligner.encode(texts)
+    want = [first.encode(" " + t, add_special_tokens=False).ids for t in texts]
+    assert a.tolist() == sum(want, []) and a_counts.tolist() == list(map(len, want))
+    want = [second.encode(t) for t in texts]
+    assert b.tolist() == sum(want, []) and b_counts.tolist() == list(map(len, want))
+
+
 def test_empty_tables_repeats_and_null_ids(spark, tools):
     assert align(spark, []) == []
     assert align(spark, [None, ""]) == brute([None, ""], tools)
