@@ -53,6 +53,17 @@ def to_jagged(df: DataFrame, batch: str, row: str, keys: list[str], label: str)
     return out.withColumn("labels", F.col("_rows")[label]).drop("_rows")
 
 
+def first_batches(batches: DataFrame, n: int, batch: str = "batch") -> DataFrame:
+    """The rows of the first ``n`` batches, for a quick evaluation."""
+    first = batches.select(batch).distinct().orderBy(batch).limit(n)
+    return batches.join(F.broadcast(first), batch, "left_semi")
+
+
+def days_between(later: str, earlier: str) -> Column:
+    """Whole days from one timestamp to another, as a double; negative when ``later`` is the earlier one."""
+    return F.datediff(later, earlier).cast("double")
+
+
 def categories(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> list:
     """Sorted distinct values of a categorical column; an error beyond ``limit`` of them."""
     found = [r[0] for r in df.select(column).distinct().limit(limit + 1).collect()]

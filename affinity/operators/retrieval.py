@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions.hashing import md5_hex
-from affinity.functions.vectors import as_doubles, normalized
-from affinity.operators.ranking import best_per_group
+from affinity.functions.vectors import as_doubles, dot, normalized
+from affinity.operators.ranking import best_per_group, dense_index
 from affinity.session import materialize, parallelism
 
 METRICS = ("dot", "cosine", "l2")
@@ -103,9 +103,12 @@ def prepared_vectors(df: DataFrame, key: str, vector: str, metric: str) -> DataF
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
-    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    given, most = as_doubles(vector), F.lit(float("inf"))
+    high, low = F.array_max(given), F.array_min(given)  # NaN is the highest of all
+    no_null = F.get(F.sort_array(given), F.lit(0)).isNotNull() | (F.size(given) == 0)
+    sound = no_null & F.coalesce(~F.isnan(high) & (high < most) & (low > -most), F.lit(True))
     wrong = F.concat(F.lit("null, NaN or infinite element in the vector of "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
-    checked = F.when(~F.forall(as_doubles(vector), finite), F.raise_error(wrong))
+    checked = F.when(given.isNotNull() & ~sound, F.raise_error(wrong))
     v = F.coalesce(checked, normalized(vector) if metric == "cosine" else as_doubles(vector))
     out = df.select(F.col(key).cast("bigint").alias("_id"), v.alias("_vec"))
     return out.where(F.col("_vec").isNotNull())
@@ -187,6 +190,11 @@ def assign_cells(items: DataFrame, centres: np.ndarray) -> DataFrame:
     )
 
 
+def cells_for(n_items: int) -> int:
+    """A number of cells that grows with the root of the items, so that routing costs no more than scoring."""
+    return int(min(4096, max(16, np.ceil(np.sqrt(n_items)))))
+
+
 def _cells(items: DataFrame, centres: np.ndarray) -> Cells:
     assigned = materialize(assign_cells(items, centres), "cells")
     radius, counts = np.zeros(len(centres)), np.zeros(len(centres), int)
@@ -200,34 +208,36 @@ def _cells(items: DataFrame, centres: np.ndarray) -> Cells:
 
 
 def _route(queries: DataFrame, cells: Cells, choose) -> DataFrame:
-    """Add ``_cells``, the cells each query visits: ``choose(bounds, need, floor)``."""
+    """Add ``_cells``, the cells each query visits: ``choose`` says so for each query and cell of a batch."""
     centres, radius = cells.centres, cells.radius
 
     def route(batches):
         for batch in batches:
             if batch.num_rows:
-                visits = choose(
+                chosen = choose(
                     _matrix(batch.column("_vec")),
                     batch.column("_need").to_numpy(),
                     batch.column("_floor").to_numpy(zero_copy_only=False),
                     centres,
                     radius,
                 )
-                yield batch.append_column("_cells", pa.array(visits, pa.list_(pa.int32())))
+                rows, visits = np.nonzero(chosen)
+                ends = np.searchsorted(rows, np.arange(batch.num_rows + 1)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(visits.astype(np.int32)))
+                yield batch.append_column("_cells", lists)
 
     return queries.select("_id", "_vec", "_need", "_floor").mapInArrow(
         route, "_id long, _vec array<double>, _need long, _floor double, _cells array<int>"
     )
 
 
-def _first_cells(bounds: np.ndarray, need: np.ndarray, counts: np.ndarray) -> list:
-    """Per query the most promising cells that together hold ``need`` items."""
+def _first_cells(bounds: np.ndarray, need: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each query and cell whether it is among the most promising ones that together hold ``need`` items."""
     order = np.argsort(-bounds, axis=1, kind="stable")
-    held = np.cumsum(counts[order], axis=1)
-    return [
-        order[r][: int(np.searchsorted(held[r], need[r])) + 1].astype(np.int32)
-        for r in range(len(order))
-    ]
+    before = np.cumsum(counts[order], axis=1) - counts[order]
+    out = np.empty(bounds.shape, dtype=bool)
+    np.put_along_axis(out, order, before < need[:, None], axis=1)
+    return out
 
 
 def _visit(routed: DataFrame, cells: Cells, n_queries: int, metric: str) -> DataFrame:
@@ -314,13 +324,8 @@ def _search_cells(queries: DataFrame, items: DataFrame, metric: str, n_cells: in
 
     def rest(q, need, floor, centres, radius):
         bounds = _bounds(q, centres, radius, metric)
-        seen = _first_cells(bounds, need, counts)
-        out = []
-        for r in range(len(bounds)):
-            able = (bounds[r] >= floor[r] - 2 * SLACK) & (counts > 0)
-            able[seen[r]] = False
-            out.append(np.flatnonzero(able).astype(np.int32))
-        return out
+        able = (bounds >= floor[:, None] - 2 * SLACK) & (counts > 0)
+        return able & ~_first_cells(bounds, need, counts)
 
     found = materialize(
         _keep_needed(_visit(_route(queries, cells, first), cells, n_queries, metric), queries),
@@ -370,7 +375,7 @@ def topk(
     exclude_self: bool = False,
     seen: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
-    n_cells: int = 256,
+    n_cells: int | None = None,
     seed: int = 7,
 ) -> DataFrame:
     """The ``k`` best items of every query: (query_id, item_id, score, rank), exact.
@@ -395,7 +400,8 @@ def topk(
         "_id", "_vec", need.alias("_need"), F.lit(float("-inf")).alias("_floor")
     )
 
-    small, _ = _fits(item_rows, broadcast_bytes)
+    small, n_items = _fits(item_rows, broadcast_bytes)
+    n_cells = n_cells or cells_for(n_items)
     if small:
         hits = _search_small(query_rows, item_rows, metric)
     elif seen is not None:
@@ -437,7 +443,7 @@ def similar_pairs(
     vector: str = "embedding",
     mode: str = "ordered",
     broadcast_bytes: int = BROADCAST_BYTES,
-    n_cells: int = 256,
+    n_cells: int | None = None,
     seed: int = 7,
 ) -> DataFrame:
     """All pairs of distinct vectors that score ``threshold`` or more, exact.
@@ -462,15 +468,11 @@ def similar_pairs(
     if small:
         hits = _search_small(asked, vectors, metric)
     else:
-        cells = _cells(vectors, sampled_pivots(vectors, n_cells, seed))
+        cells = _cells(vectors, sampled_pivots(vectors, n_cells or cells_for(n), seed))
         counts = cells.counts
 
         def able(q, need, floor, centres, radius):
-            bounds = _bounds(q, centres, radius, metric)
-            return [
-                np.flatnonzero((b >= f - 2 * SLACK) & (counts > 0)).astype(np.int32)
-                for b, f in zip(bounds, floor)
-            ]
+            return (_bounds(q, centres, radius, metric) >= floor[:, None] - 2 * SLACK) & (counts > 0)
 
         hits = _visit(_route(asked, cells, able), cells, n, metric)
     apart = F.col("_q") < F.col("_i") if mode == "unordered" else F.col("_q") != F.col("_i")
@@ -497,18 +499,40 @@ def vector_members(
     )
 
 
-def expand_pairs(pairs: DataFrame, members: DataFrame, item_id: str = "item_id") -> DataFrame:
-    """All pairs of items, those of one and the same vector (score 1 under cosine) among them."""
+def expand_pairs(
+    pairs: DataFrame, members: DataFrame, item_id: str = "item_id", metric: str = "cosine",
+    items: DataFrame | None = None, vector: str = "embedding",
+) -> DataFrame:
+    """All pairs of items, those of one and the same vector among them.
+
+    Such a pair scores 1 under cosine and 0 under l2; under dot it scores the vector's square, for which
+    ``items`` must be given.
+    """
     entry = f"{item_id}_entry"
     side = lambda s: members.toDF(f"{item_id}_{s}", f"_{s}")
     across = (
         pairs.join(side("a"), f"{item_id}_a").join(side("b"), f"{item_id}_b")
         .select(F.col("_a").alias(f"{item_id}_a"), F.col("_b").alias(f"{item_id}_b"), "similarity_score")
     )
-    within = members.toDF(entry, f"{item_id}_a").join(members.toDF(entry, f"{item_id}_b"), entry).where(
+    if metric == "dot":
+        if items is None:
+            raise ValueError("scores of equal vectors under dot need the items")
+        own = prepared_vectors(items, item_id, vector, metric).select(
+            F.col("_id").alias(entry), F.round(dot("_vec", "_vec"), 9).alias("_own")
+        )
+        same = members.join(own, entry)
+    else:
+        same = members.withColumn("_own", F.lit({"cosine": 1.0, "l2": 0.0}[metric]))
+    within = same.toDF(entry, f"{item_id}_a", "_own").join(members.toDF(entry, f"{item_id}_b"), entry).where(
         F.col(f"{item_id}_a") != F.col(f"{item_id}_b")
     )
-    return across.union(within.select(f"{item_id}_a", f"{item_id}_b", F.lit(1.0)))
+    return across.union(within.select(f"{item_id}_a", f"{item_id}_b", "_own"))
+
+
+def ordered_pairs(pairs: DataFrame, item_id: str = "item_id") -> DataFrame:
+    """Pairs with their ``position`` (from 0) by first item and score, both falling; equal ones by second item."""
+    order = [F.desc(f"{item_id}_a"), F.desc("similarity_score"), F.asc(f"{item_id}_b")]
+    return dense_index(pairs, order, "position")
 
 
 def as_arrays(hits: DataFrame, query_id: str = "query_id", item_id: str = "item_id") -> DataFrame:
@@ -561,7 +585,9 @@ def nearest_cells(nprobe: int, metric: str):
 
     def nearest(q, need, floor, centres, radius):
         near = _scores(q, centres, metric)
-        return list(np.argsort(-near, axis=1, kind="stable")[:, :nprobe].astype(np.int32))
+        out = np.zeros(near.shape, dtype=bool)
+        np.put_along_axis(out, np.argsort(-near, axis=1, kind="stable")[:, :nprobe], True, axis=1)
+        return out
 
     return nearest
 

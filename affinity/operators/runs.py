@@ -21,6 +21,11 @@ def append_run(
     spark.createDataFrame(rows, RUN_LOG).write.mode("append").parquet(path)
 
 
+def append_runs(rows: DataFrame, path: str) -> None:
+    """Append key/value rows of any number of runs (columns as in ``RUN_LOG``) in one write."""
+    rows.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in RUN_LOG.split(", ")]).write.mode("append").parquet(path)
+
+
 def latest_run(runs: DataFrame, experiment: str, run: str, started: str) -> DataFrame:
     """The last started run per experiment; equal starts go to the higher run id."""
     return runs.groupBy(experiment).agg(F.max(F.struct(started, run)).alias("_last")).select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from affinity.operators import features
+from affinity.operators import checks, features
 from affinity.plans import stand_ins as S
 from affinity.plans.registry import query
 
@@ -69,6 +69,58 @@ def dense_features(spark, sf):
     return S.long_form(sides, ["event_id", "side"], "v")
 
 
+def _jagged_events(spark, sf):
+    events = S.table(spark, sf, "events").select(
+        F.floor(F.col("event_id") / 512).alias("batch"), "event_id", "user_id",
+        F.when(F.col("event_type") != "error", F.floor("value")).alias("item_id"),
+        (F.col("event_type") == "purchase").cast("int").alias("label"),
+    )
+    return features.to_jagged(events, "batch", "event_id", ["user_id", "item_id"], "label")
+
+
+@query(
+    "first_batches",
+    """select event_id // 512 batch, count(*) "rows", sum((event_type = 'purchase')::integer)::bigint positives
+      from events group by 1 having batch < 3""",
+)
+def first_batches(spark, sf):
+    """Rows and positives of the first three batches."""
+    first = features.first_batches(_jagged_events(spark, sf), 3)
+    return first.select(
+        "batch", F.size("labels").cast("bigint").alias("rows"),
+        F.aggregate("labels", F.lit(0).cast("bigint"), lambda n, x: n + x).alias("positives"),
+    )
+
+
+@query(
+    "pair_shapes",
+    """select event_id // 512 batch, count(*)::integer user_id_values_n,
+      (count(*) filter (event_type <> 'error' and "value" is not null))::integer item_id_values_n, count(*)::integer labels_n,
+      count(*) = count(*) filter (event_type <> 'error' and "value" is not null) agree from events group by 1""",
+)
+def pair_shapes(spark, sf):
+    """Whether the values and labels of a batch have one length; a missing item makes a batch ragged."""
+    found = checks.array_lengths(_jagged_events(spark, sf), ["user_id_values", "item_id_values", "labels"])
+    return found.select("batch", "user_id_values_n", "item_id_values_n", "labels_n", "agree")
+
+
+@query(
+    "date_features",
+    """with d as (select l_orderkey, l_linenumber, (l_shipdate::date - o_orderdate::date)::double n_days,
+        (dayofweek(o_orderdate)+1)::double weekday from lineitem join orders on l_orderkey = o_orderkey),
+      s as (select avg(n_days) m, stddev_samp(n_days) sd from d)
+      select l_orderkey, l_linenumber, round((n_days-m)/sd, 6)+0.0::double days_scaled, weekday from d, s""",
+)
+def date_features(spark, sf):
+    """Days from order to shipment, scaled, and the weekday of the order (1: Sunday)."""
+    rows = S.table(spark, sf, "lineitem").join(S.table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "l_orderkey", "l_linenumber", features.days_between("l_shipdate", "o_orderdate").alias("days"),
+        F.dayofweek("o_orderdate").cast("double").alias("weekday"),
+    )
+    scaled = features.standard_scaled(rows, ["days"])["days"]
+    return rows.select("l_orderkey", "l_linenumber", S.rounded(scaled).alias("days_scaled"), "weekday")
+
+
 ITEM_TEXT = "'Department: ' || p_type || chr(10) || 'Aisle: ' || p_brand || chr(10) || 'Product: ' || p_name"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from affinity.functions.vectors import dot
-from affinity.operators import factors, features, sampling, skew, tower_training, towers, trees
+from affinity.operators import factors, features, sampling, skew, softmax_trees, tower_training, towers, trees, trials
 from affinity.plans import stand_ins as S
 from affinity.plans.registry import query
 from affinity.session import materialize
@@ -283,8 +283,53 @@ def train_log(spark, sf):
 @query("param_search")
 def param_search(spark, sf):
     train, val, test = _parts(spark, sf)
-    trials = factors.draw_trials(2, S.SEED, [4, 8], (5e-3, 5e-1))
-    return factors.search(train, val, test, trials, epochs=1)
+    drawn = factors.draw_trials(2, S.SEED, [4, 8], (5e-3, 5e-1))
+    return factors.search(train, val, test, drawn, epochs=1)
+
+
+HALVED = [{"trial": 0, "dim": 2, "lr": 0.05}, {"trial": 1, "dim": 3, "lr": 0.2}]
+
+
+def halving_sql() -> str:
+    """Two epochs of each trial written out; the second rung is shown for the trial with the lower first loss."""
+    parts = [S.SPLIT, """train as materialized (select * from split where "group" = 'train')""",
+             """val as materialized (select * from split where "group" = 'val')""",
+             """test as materialized (select * from split where "group" = 'test')"""]
+    for t in HALVED:
+        n, dims = t["trial"], range(t["dim"])
+        dot = "+".join(f"u.v{j}*w.v{j}" for j in dims)
+        for side, name, key in (("u", "user", "user_id"), ("w", "item", "product_id")):
+            cols = ", ".join(f"({S.uniform(S.SEED, repr(name), key, j)}-0.5) v{j}" for j in dims)
+            parts.append(f"{side}{n}_0 as materialized (select {key} id, {cols}, 0.0::double acc from (select distinct {key} from train))")
+        for k in (0, 1):
+            joined = f"join u{n}_{k} u on u.id = user_id join w{n}_{k} w on w.id = product_id"
+            for side, key, other in (("u", "user_id", "w"), ("w", "product_id", "u")):
+                grads = ", ".join(f'sum((1/(1+exp(-({dot})))-"label")*{other}.v{j}) g{j}' for j in dims)
+                square = "(" + "+".join(f"g{j}*g{j}" for j in dims) + f")/{len(dims)}"
+                new = ", ".join(f"v{j}-{t['lr']}::double/(sqrt(acc+{square})+1e-8::double)*g{j} v{j}" for j in dims)
+                parts.append(f"{side}g{n}_{k} as materialized (select {key} id, {grads} from train {joined} group by 1)")
+                parts.append(f"{side}{n}_{k + 1} as materialized (select id, {new}, acc+{square} acc from {side}{n}_{k} join {side}g{n}_{k} using (id))")
+            joined = f"join u{n}_{k + 1} u on u.id = user_id join w{n}_{k + 1} w on w.id = product_id"
+            loss = f'avg(greatest({dot},0.0::double)-({dot})*"label"+ln(1+exp(-abs({dot}))))'
+            for rows in ("val", "test"):
+                parts.append(f"{rows}{n}_{k + 1} as materialized (select {loss} l from {rows} {joined})")
+    first = " union all ".join(f"select {t['trial']} trial, {t['dim']} dim, {t['lr']}::double lr, l from val{t['trial']}_1" for t in HALVED)
+    second = " union all ".join(
+        f"select {t['trial']} trial, {t['dim']} dim, {t['lr']}::double lr, v.l, t.l tl from val{t['trial']}_2 v, test{t['trial']}_2 t" for t in HALVED
+    )
+    parts.append(f"one as materialized ({first})")
+    parts.append("won as (select trial from one order by l, trial limit 1)")
+    return f"""with {', '.join(parts)} select trial::integer trial, dim::integer dim, lr, 1 rung, 1 epochs, {S.r6('l')} val_loss,
+        trial = (select trial from won) kept, false best, null::double test_loss from one
+      union all select trial::integer, dim::integer, lr, 2, 2, {S.r6('l')}, true, true, {S.r6('tl')} from ({second})
+        where trial = (select trial from won)"""
+
+
+@query("trials_halving", halving_sql())
+def trials_halving(spark, sf):
+    """Two trials train together; the one with the lower validation loss trains on and is tested."""
+    found = trials.search(*_parts(spark, sf), HALVED, epochs=1, seed=S.SEED)
+    return found.withColumns({c: S.rounded(c) for c in ("val_loss", "test_loss")})
 
 
 @query("als_factors")
@@ -294,6 +339,54 @@ def als_factors(spark, sf):
     )
 
 
+TREE_CUTS = {"price": [50_000.0, 100_000.0, 150_000.0, 200_000.0], "lines": [1.0, 3.0, 5.0], "year": [1993.0, 1995.0, 1997.0]}
+
+
+def stump_sql() -> str:
+    """One round of stumps for three classes: the best split of each from sums at the cut points."""
+    cuts = [(n, f, c) for n, f in enumerate(TREE_CUTS) for c in TREE_CUTS[f]]
+    sums = " union all ".join(
+        f"select k, {n} f, {c}::double c, sum(g) filter ({f} <= {c}) gl, sum(h) filter ({f} <= {c}) hl, sum(g) gt, sum(h) ht from r group by 1"
+        for n, f, c in cuts
+    )
+    value = "case best.f " + " ".join(f"when {n} then {f}" for n, f in enumerate(TREE_CUTS)) + " end"
+    return f"""with o as materialized (select o_orderkey order_id, o_totalprice price, year(o_orderdate)::double "year", count(*)::double lines,
+        case any_value(o_orderstatus) when 'F' then 0 when 'O' then 1 else 2 end target
+        from orders join lineitem on l_orderkey = o_orderkey group by 1, 2, 3),
+      r as materialized (select *, 1/3.0::double - (target = k)::integer g, 2/9.0::double h from o, range(3) t(k)),
+      sums as ({sums}),
+      gains as (select *, round(gl*gl/(hl+1) + (gt-gl)*(gt-gl)/(ht-hl+1) - gt*gt/(ht+1), 9) gain from sums
+        where hl >= 0.001 and ht-hl >= 0.001),
+      best as (select * from (select *, row_number() over (partition by k order by gain desc, f, c) rn from gains) where rn = 1),
+      s as (select order_id, o.target, best.k, 0.3::double * case when {value} <= c then -gl/(hl+1) else -(gt-gl)/(ht-hl+1) end s from o, best),
+      p as (select order_id, k, exp(s) / sum(exp(s)) over (partition by order_id) p from s)
+      select order_id, {', '.join(f"{S.r6(f'max(p) filter (k = {k})')} p{k}" for k in range(3))} from p group by 1"""
+
+
+def _order_rows(spark, sf):
+    """Order status as one of three classes, with order columns."""
+    per_order = S.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("order_id")).agg(
+        F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity"), F.avg("l_discount").alias("discount"),
+    )
+    status = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1)
+    orders = S.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("price"),
+        F.year("o_orderdate").alias("year"), status.otherwise(2).alias("target"),
+    )
+    return orders.join(per_order, "order_id")
+
+
+@query("softmax_stumps", stump_sql())
+def softmax_stumps(spark, sf):
+    """Class probabilities of all orders after one round of trees with one split."""
+    rows = materialize(_order_rows(spark, sf), "tree-orders")
+    model = softmax_trees.fit(
+        rows, list(TREE_CUTS), labels=3, max_depth=1, rounds=1, cuts=list(TREE_CUTS.values())
+    )
+    found = model.predict(rows.select("order_id", *TREE_CUTS))
+    return found.select("order_id", *[S.rounded(F.col("probabilities")[k]).alias(f"p{k}") for k in range(3)])
+
+
 @query("gbt_classify")
 def gbt_classify(spark, sf):
     """Three-way order status from order columns, held-out rows."""

@@ -107,6 +107,42 @@ def topk_exact(spark, sf):
     )
 
 
+@query(
+    "topk_cells",
+    f"""with {VEC} select query_id, item_id, score+0.0::double score, "rank" from
+      {topk_sql('vec', 'vec', 'vec_id', 'vec_id', COSINE, 10, 'q.vec_id <> i.vec_id')}""",
+)
+def topk_cells(spark, sf):
+    """The search for items beyond the size that tasks hold: by cells, in two rounds."""
+    return _shown(retrieval.topk(
+        _vectors(spark, sf, "query_id"), _vectors(spark, sf, "item_id"), 10, "cosine", exclude_self=True, broadcast_bytes=0
+    ))
+
+
+@query(
+    "topk_cells_seen",
+    f"""with {VEC} select query_id, item_id, {S.r6('score')} score, "rank" from
+      {topk_sql('vec', 'vec', 'vec_id', 'vec_id', L2, 10, 'i."label" <> q."label"')}""",
+)
+def topk_cells_seen(spark, sf):
+    """By cells, where a query has seen all items of its own label."""
+    asked, items = _vectors(spark, sf, "query_id"), _vectors(spark, sf, "item_id")
+    seen = asked.select("query_id", "label").join(items.select("item_id", "label"), "label").drop("label")
+    return retrieval.topk(asked, items, 10, "l2", seen=seen, broadcast_bytes=0).withColumn("score", S.rounded("score"))
+
+
+@query(
+    "similar_pairs_cells",
+    f"""with {VEC} select q.vec_id item_id_a, i.vec_id item_id_b, round({DOT},9)+0.0::double similarity_score,
+        1::bigint copies_a, 1::bigint copies_b, row_number() over (order by q.vec_id desc, round({DOT},9) desc, i.vec_id)-1 "position"
+      from vec q, vec i where q.vec_id <> i.vec_id and round({DOT}, 9) >= 0.3::double""",
+)
+def similar_pairs_cells(spark, sf):
+    """By cells, in the order of first item and score; the test vectors have no copies."""
+    pairs = retrieval.similar_pairs(_vectors(spark, sf, "item_id"), 0.3, "dot", broadcast_bytes=0)
+    return retrieval.ordered_pairs(pairs.withColumn("similarity_score", F.col("similarity_score") + F.lit(0.0)))
+
+
 @query(
     "topk_filtered",
     f"""with {VEC}, kept as (select * from vec where "label" <> 7)
