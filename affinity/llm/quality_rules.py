@@ -1,12 +1,13 @@
 """Quality rules whose cutoffs carry a guarantee on false rejection.
 
-Each rule compares one figure of a text with a cutoff. Cutoffs are chosen for each stratum
-(language) on labelled documents: a cutoff is admitted only if the exact binomial (Clopper-Pearson)
-upper bound on the share of good documents it rejects stays within the rule's part of ``risk``, at a
-level divided by the number of all tests (Bonferroni), so that with probability ``1 - delta`` no
-stratum loses more than ``risk`` of its good documents to the chosen cutoffs. Among the admitted
-cutoffs the strictest is used; a stratum with too few labelled documents gets none and rejects by the
-base rules alone.
+Each rule compares one figure of a text with a cutoff; a text is rejected if any rule rejects it. Cutoffs move
+together along a fixed path from loose to strict. For each stratum (language) the labelled good documents
+tell how many of them each step of the path rejects, and the exact binomial test (Clopper-Pearson) asks whether
+that few could be expected if the step rejected more than ``risk`` of all good ones. Steps are tested in the order
+of the path up to the first that fails, so the order alone corrects for their number; the level ``delta`` is
+divided by the number of strata that have labels enough to pass at all (Bonferroni). So with probability
+``1 - delta`` no stratum loses more than ``risk`` of its good documents. The last step that passes is used; a
+stratum with too few labelled documents has none and rejects by the base rules alone.
 
 Defined cases. Null text: no words, all figures 0, base failed. Null language: a stratum of its own.
 A document labelled more than once is good only if every label says so; labels of unknown documents
@@ -16,6 +17,8 @@ input beyond doc_id, text and lang play no part.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +35,8 @@ GRIDS = {
     "long_words": [6.0, 7.0, 8.0, 9.0, 10.0, 12.0, 15.0, 20.0, 30.0],
     "short_words": [-6.0, -5.0, -4.5, -4.0, -3.5, -3.0, -2.5, -2.0, -1.5],
 }
+#: Steps of the path; a rule with fewer cutoffs stays at its loosest one first.
+STEPS = max(map(len, GRIDS.values()))
 FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
 
@@ -118,38 +123,43 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k > n * p, 1.0).when(k == 0, F.exp(first)).otherwise(total)
 
 
+def path(rule: str) -> list[float]:
+    """The cutoff of a rule at each step."""
+    loose_first = sorted(GRIDS[rule], reverse=True)
+    return [loose_first[max(0, j - (STEPS - len(loose_first)))] for j in range(STEPS)]
+
+
+def first_step(prefix: str = "") -> Column:
+    """The first step of the path that rejects a text with the figures, or the number of steps."""
+    by_rule = [
+        F.coalesce(*[F.when(figure > cut, F.lit(j)) for j, cut in enumerate(path(rule))], F.lit(STEPS))
+        for rule, figure in _figures(prefix).items()
+    ]
+    return F.least(*by_rule)
+
+
 def cutoffs(figures: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """Per stratum (``stratum``), one column ``cut_<rule>`` per rule; null where none is admitted.
+    """Per stratum (``stratum``) its good labelled documents ``n`` and the last admitted ``step``; null where none is.
 
     ``figures`` has doc_id, stratum and the figures. The result has one row per stratum.
     """
-    tests = [(rule, c) for rule, grid in GRIDS.items() for c in grid]
     good = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
         .groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1")
     )
-    figure = _figures()
     counts = (
         figures.where(~base_failed())
         .join(good, "doc_id", "left_semi")
+        .withColumn("first", first_step())
         .groupBy("stratum")
-        .agg(
-            F.count("*").alias("n"),
-            *[F.count(F.when(figure[rule] > c, 1)).alias(f"k{i}") for i, (rule, c) in enumerate(tests)],
-        )
+        .agg(F.count("*").alias("n"), *[F.count(F.when(F.col("first") <= j, 1)).alias(f"k{j}") for j in range(STEPS)])
     )
     counts = materialize(counts, "quality-holdout")
-    hypotheses = F.greatest(F.lit(1), F.lit(len(tests)) * counts.count())
-    level, part = F.lit(delta) / hypotheses, risk / len(GRIDS)
-
-    def chosen(rule):
-        passed = [
-            F.when(binomial_tail(F.col(f"k{i}"), F.col("n"), part) <= level, F.lit(c))
-            for i, (r, c) in enumerate(tests) if r == rule
-        ]
-        return F.coalesce(*passed).alias(f"cut_{rule}")  # cutoffs ascend, so the first is the strictest
-
-    return counts.select("stratum", "n", *[chosen(rule) for rule in GRIDS])
+    enough = math.ceil(math.log(delta) / math.log1p(-risk))  # with fewer even no rejection at all doesn't pass
+    level = F.lit(delta) / F.greatest(F.lit(1), F.lit(counts.where(F.col("n") >= enough).count()))
+    failed = [F.when(binomial_tail(F.col(f"k{j}"), F.col("n"), risk) > level, F.lit(j)) for j in range(STEPS)]
+    step = F.coalesce(*failed, F.lit(STEPS)) - 1
+    return counts.select("stratum", "n", F.when(step >= 0, step).alias("step"))
 
 
 def stratum(docs: DataFrame) -> Column:
@@ -157,13 +167,8 @@ def stratum(docs: DataFrame) -> Column:
 
 
 def kept(prefix: str = "") -> Column:
-    """The verdict on a row that has the figures and its stratum's cutoffs."""
-    figure = _figures(prefix)
-    over = [F.coalesce(figure[rule] > F.col(f"{prefix}cut_{rule}"), F.lit(False)) for rule in GRIDS]
-    rejected = base_failed(prefix)
-    for x in over:
-        rejected = rejected | x
-    return ~rejected
+    """The verdict on a row that has the figures and its stratum's step."""
+    return ~base_failed(prefix) & ~F.coalesce(first_step(prefix) <= F.col(f"{prefix}step"), F.lit(False))
 
 
 def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:

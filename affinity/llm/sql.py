@@ -108,9 +108,10 @@ def _license_scan() -> str:
 
 def _quality_rules() -> str:
     q = quality_rules
-    grid = ", ".join(f"('{rule}', {c}::double)" for rule, cuts in q.GRIDS.items() for c in cuts)
-    count = sum(map(len, q.GRIDS.values()))
-    part = q.RISK / len(q.GRIDS)
+    steps = max(len(cuts) for cuts in q.GRIDS.values())
+    grid = ", ".join(  # the strictest cutoff of a rule belongs to the last step, the one before to the step before
+        f"('{rule}', {steps - 1 - n}, {c}::double)" for rule, cuts in q.GRIDS.items() for n, c in enumerate(cuts)
+    )
     figures = {
         "symbols_per_word": "n_symbols / greatest(n_words, 1)::double",
         "dup_line_share": "n_dup_lines / greatest(n_lines, 1)::double",
@@ -121,7 +122,7 @@ def _quality_rules() -> str:
     long = " union all ".join(f"select doc_id, st, '{rule}' rule, {v} v from fig" for rule, v in figures.items())
     tail = (
         f"list_sum(list_transform(range(0, k+1), lambda i: exp(lgamma(n+1) - lgamma(i+1) - lgamma(n-i+1) "
-        f"+ i*ln({part}::double) + (n-i)*ln(1-{part}::double))))"
+        f"+ i*ln({q.RISK}::double) + (n-i)*ln(1-{q.RISK}::double))))"
     )
     return rf"""with w as (select doc_id, coalesce(lang, '(none)') st, coalesce(text, '') t,
       list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') ws,
@@ -141,13 +142,16 @@ def _quality_rules() -> str:
       group by 1 having min(quality) = 1),
     held as (select fig.doc_id, st from fig join good using (doc_id) where not base_failed),
     n as (select st, count(*) n from held group by 1),
-    grid(rule, cut) as (values {grid}),
-    k as (select st, rule, cut, count(*) filter (v > cut) k from held join long using (doc_id, st)
-      join grid using (rule) group by all),
-    chosen as (select st, rule, min(cut) cut from k join n using (st)
-      where k <= n * {part}::double and {tail} <= {q.DELTA}::double / ({count} * (select count(*) from n))
-      group by 1, 2),
-    gone as (select distinct doc_id from long join chosen using (st, rule) where v > cut)
+    grid(rule, step, cut) as (values {grid}),
+    firsts as materialized (select doc_id, st, min(step) first from long join grid using (rule) where v > cut group by 1, 2),
+    lost as (select firsts.* from firsts join held using (doc_id, st)),
+    tested as (select n.st, step, any_value(n.n) n, count(lost.doc_id) k from n cross join range({steps}) s(step)
+      left join lost on lost.st = n.st and first <= step group by 1, 2),
+    failed as (select st, min(step) step from tested
+      where k > n * {q.RISK}::double or {tail} > {q.DELTA}::double / greatest(1, (select count(*) from n
+        where pow(1-{q.RISK}::double, n) <= {q.DELTA}::double)) group by 1),
+    chosen as (select n.st, coalesce(failed.step, {steps}) - 1 step from n left join failed using (st)),
+    gone as (select distinct doc_id from firsts join chosen using (st) where first <= step)
     select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
       not base_failed and doc_id not in (select doc_id from gone) kept from fig"""
 

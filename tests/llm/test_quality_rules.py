@@ -62,6 +62,44 @@ def test_cutoffs_keep_good_documents(spark):
     assert kept.columns == docs.columns and kept.count() == 4050
 
 
+def test_steps_equal_brute_force_and_reject_junk(spark):
+    """Each stratum's step is the last of the path before the first failed test; some of the labelled junk goes."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    marks = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    figures = q.with_figures(docs.select("doc_id", "text", "lang")).withColumn("stratum", q.stratum(docs)).select("doc_id", "stratum", *q.FIGURES)
+    figures = q.materialize(figures, "test-figures")
+    rows = {r["doc_id"]: r for r in figures.collect()}
+    quality = {r["doc_id"]: r["quality"] for r in marks.collect()}
+
+    def values(r):
+        w, n = max(r["n_words"], 1), max(r["n_lines"], 1)
+        return {"symbols_per_word": r["n_symbols"] / w, "dup_line_share": r["n_dup_lines"] / n, "repeat_share": r["n_repeat_words"] / w,
+                "long_words": r["word_chars"] / w, "short_words": -(r["word_chars"] / w)}
+
+    def rejected(r, step):
+        return any(v > q.path(rule)[step] for rule, v in values(r).items())
+
+    passed = {d: r for d, r in rows.items() if r["n_words"] >= 50 and 100 * r["n_repeat_words"] <= 50 * r["n_words"]}
+    good = {}
+    for d, r in passed.items():
+        if quality.get(d) == 1:
+            good.setdefault(r["stratum"], []).append(r)
+    testable = sum((1 - q.RISK) ** len(g) <= q.DELTA for g in good.values())
+    want = {}
+    for st, g in good.items():
+        want[st], n = None, len(g)
+        for step in range(q.STEPS):
+            k = sum(rejected(r, step) for r in g)
+            p = sum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(q.RISK) + (n - i) * math.log1p(-q.RISK)) for i in range(k + 1))
+            if k > n * q.RISK or p > q.DELTA / testable:
+                break
+            want[st] = step
+    assert {r["stratum"]: r["step"] for r in q.cutoffs(figures, marks).collect()} == want
+    assert testable == 4 and all(s is not None for s in want.values())
+    junk = [r for d, r in passed.items() if quality.get(d) == 0]
+    assert junk and sum(rejected(r, want[r["stratum"]]) for r in junk) > 0.9 * len(junk)
+
+
 def test_chosen_cutoffs_hold_their_bound(spark, sf):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     marks = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
