@@ -24,8 +24,9 @@ has bytes, and all documents together. So the collection is cut first:
 
 Hashes have 64 bits; pieces are grouped by two of them, windows compared byte by byte (grouped whole
 in 4). Defined cases. Null and empty texts have no bytes, texts shorter than ``WIDTH`` lose none. Rows
-that repeat a doc_id are taken as one document: they don't remove each other's bytes. Rows without
-doc_id neither lose bytes nor cause losses. An empty table gives an empty result. Columns beyond doc_id
+that repeat a doc_id and its text are taken as one document: they don't remove each other's bytes. Other
+texts under one doc_id are documents of their own, in the order of their hashes. Rows without doc_id
+neither lose bytes nor cause losses. An empty table gives an empty result. Columns beyond doc_id
 and text play no part.
 """
 
@@ -41,6 +42,7 @@ from pyspark.sql import functions as F
 
 from affinity.llm.graph import join_sized
 from affinity.llm.text import _BYTE_CODES, hash_spans, mix, slices, text_bytes
+from affinity.operators.ranking import dense_index
 from affinity.session import materialize
 
 WIDTH = 100
@@ -376,5 +378,30 @@ def remove(docs: DataFrame, spans: DataFrame) -> DataFrame:
     )
 
 
+def _texts_of_own(docs: DataFrame) -> DataFrame | None:
+    """Where one doc_id has several texts: doc_id and hash of each of its texts, and a number ``place`` in the
+    order of both for all documents; None where no doc_id has."""
+    several = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    several = materialize(several, "suffix-several")
+    if several.isEmpty():
+        return None
+    texts = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("text_hash")).distinct()
+    if join_sized(texts, several, "doc_id", "left_semi").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return None
+    return dense_index(texts, ["doc_id", "text_hash"], "place")
+
+
 def dedup(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    return remove(docs, repeated_spans(docs, hot))
+    """Every row of ``docs`` without what repeats. Rows with one doc_id and one text are one document; several
+    texts under one doc_id are documents of their own, in the order of their hashes."""
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    places = _texts_of_own(docs)
+    if places is None:
+        return remove(docs, repeated_spans(docs, hot))
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+    named = materialize(
+        hashed.join(places, ["doc_id", "text_hash"], "left").select(F.col("place").alias("doc_id"), "text", F.col("doc_id").alias("given")), "suffix-named"
+    )
+    out = remove(named, repeated_spans(named, hot))
+    back = places.select("place", F.col("doc_id").alias("given"))
+    return out.join(back, F.col("doc_id") == F.col("place"), "left").select(F.col("given").alias("doc_id"), *[c for c in out.columns if c != "doc_id"])

@@ -96,3 +96,22 @@ def test_columns_find_what_equal_windows_are():
                 if group[i] == group[j] and rank[j] < rank[i] and 0 <= b <= len(q) - 12 and bytes(q[b : b + 12]) == bytes(p[a : a + 12]):
                     want.add((i, a))
     assert set(zip(which.tolist(), at.tolist())) == want
+
+
+def test_texts_under_one_doc_id_are_judged_by_themselves(spark):
+    import xxhash
+
+    rng = random.Random(8)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared, other = prose(300), prose(400)
+    rows = [(1, shared + prose(50)), (2, prose(500)), (2, prose(80) + shared + prose(60)), (2, other), (2, other), (2, None), (3, other + prose(9)), (None, other)]
+    place = lambda r: (r[0], xxhash.xxh64_intdigest(r[1] or "", seed=42) - (1 << 64 if xxhash.xxh64_intdigest(r[1] or "", seed=42) >> 63 else 0) if r[1] is not None else 42)
+    order = {k: i for i, k in enumerate(sorted({place(r) for r in rows if r[0] is not None}))}
+    want = {r[0]: r[1:] for r in brute([(order[place(r)], r[1]) for r in {r: 0 for r in rows} if r[0] is not None])}
+    expected = [(r[0], *want[order[place(r)]]) for r in rows if r[0] is not None]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = suffix_dedup.dedup(docs).collect()
+    figures_ = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(bytes(r["kept"])).hexdigest()) for r in found]
+    assert sorted(f for f in figures_ if f[0] is not None) == sorted(expected)
+    assert [f[2] for f in figures_ if f[0] is None] == [0]
+    assert [f[2] for f in figures_ if f[0] == 2 and f[1] == 500] == [0]
