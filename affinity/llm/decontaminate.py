@@ -10,6 +10,9 @@ its capitals, lines and sentence ends make of its names. Where a run's slots are
 template windows are dropped and its verbatim ones stay. A document is contaminated by an item if the
 windows that stay cover ``MIN_WORDS`` of its words, or those of consistent runs ``MIN_SHARE`` of them.
 
+A template window needs as many literal words as slots, so tables of numbers or lists of names are evidence
+only where they are copied as written.
+
 A number is a word with a digit or a number word; a unit is a unit word behind a number; a name is a
 word with one capital, the first letter, that doesn't begin a sentence.
 
@@ -105,12 +108,14 @@ class Templates:
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places (in all words) where windows within one text begin, the windows' hashes, and whether
-        they are of what is written; of the template there are those with a slot (others are the same)."""
+        they are of what is written; of the template there are those with a slot (others are the same)
+        whose slots are half of their words at most: a row of numbers is like any other."""
         written, template = rolling(self.written, size), rolling(self.template, size)
         inside = self.owner[: len(written)] == self.owner[size - 1 : size - 1 + len(written)]
         at = np.flatnonzero(inside)
         slots = np.concatenate(([0], np.cumsum(self.slot)))
-        typed = at[slots[at + size] > slots[at]]
+        typed = slots[at + size] - slots[at]
+        typed = at[(typed > 0) & (2 * typed <= size)]
         return np.concatenate((at, typed)), np.concatenate((written[at], template[typed])), np.arange(len(at) + len(typed)) < len(at)
 
     def rows(self, at: np.ndarray, hashes: np.ndarray, verbatim: np.ndarray, size: int, ids) -> list:

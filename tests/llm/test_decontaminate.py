@@ -97,3 +97,15 @@ def test_rows_without_doc_id_are_cleaned_by_their_own_text(spark):
     left = decontaminate.clean(docs, bench)
     assert left.columns == docs.columns
     assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted([rows[1], rows[2], rows[4]], key=str)
+
+
+def test_number_tables_are_no_templates(spark):
+    """Rows of other numbers, or of other names, aren't copies; the same numbers are."""
+    item = "Add 1 2 3 4 5 6 7 8 9 10 11 12 13 14 and tell the sum"
+    names = "the guests were Anna Bert Carl Dora Emil Fritz Gerd Hans Ida Jan Karl Lena Max Nora"
+    rows = [
+        (1, "Rain 31 24 18 9 12 0 3 7 22 40 51 38 29 30 as measured"), (2, "so 1 2 3 4 5 6 7 8 9 10 11 12 13 14 it is"),
+        (3, "here came Olaf Paul Rita Sven Tina Udo Vera Willi Xaver Yana Zoe Adam Bea Cora too"),
+    ]
+    _, _, found = run(spark, rows, [(1, item), (2, names)])
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(2, 1)}
