@@ -4,26 +4,29 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.functions.hashing import md5_uniform
 from affinity.functions.vectors import bce_with_logits, fixed_dot, sigmoid
 from affinity.operators.metrics import auroc
+from affinity.operators.partials import PARTIAL, as_lists, as_matrix, by_id, partial_rows, summed
 from affinity.operators.ranking import dense_index
 from affinity.session import materialize
 
 EPSILON = 1e-8
+STATE = "side string, id long, v array<double>, acc double"
 
 
 def initial_state(pairs: DataFrame, dim: int, seed: int, scale: float = 1.0) -> DataFrame:
     """(side, id, v, acc) for every user and item of ``pairs``: keyed vectors, zero history."""
     ids = (
-        pairs.select(F.lit("user").alias("side"), F.col("user_id").alias("id")).distinct()
+        pairs.select(F.lit("user").alias("side"), F.col("user_id").cast("bigint").alias("id")).distinct()
         .unionByName(
-            pairs.select(F.lit("item").alias("side"), F.col("product_id").alias("id")).distinct()
+            pairs.select(F.lit("item").alias("side"), F.col("product_id").cast("bigint").alias("id")).distinct()
         )
     )
     parts = [(md5_uniform(seed, "side", "id", j) - F.lit(0.5)) * F.lit(scale) for j in range(dim)]
@@ -43,37 +46,33 @@ def with_logits(pairs: DataFrame, state: DataFrame, dim: int) -> DataFrame:
 def epoch(pairs: DataFrame, state: DataFrame, dim: int, lr: float) -> DataFrame:
     """One full pass: cross-entropy gradients of all vectors, then a row-wise Adagrad step.
 
-    Each pair adds to two gradient rows; their sums are partial aggregates over ``dim``
-    columns, so a popular item costs one row per map task in the shuffle.
+    Each pair adds to two gradient rows. Tasks add them up by id for each batch, so a popular item
+    costs a few rows per task in the shuffle, and vectors of any width stay one column.
     """
-    g = sigmoid("logit") - F.col("label").cast("double")
-    both = with_logits(pairs, state, dim).withColumn("_g", g).select(
-        F.explode(
-            F.array(
-                F.struct(
-                    F.lit("user").alias("side"), F.col("user_id").alias("id"),
-                    F.col("_g").alias("g"), F.col("w").alias("other"),
-                ),
-                F.struct(
-                    F.lit("item").alias("side"), F.col("product_id").alias("id"),
-                    F.col("_g").alias("g"), F.col("u").alias("other"),
-                ),
-            )
-        ).alias("r")
-    ).select("r.*")
-    sums = both.groupBy("side", "id").agg(
-        *[F.sum(F.col("g") * F.col("other")[j]).alias(f"_g{j}") for j in range(dim)]
-    )
-    grads = [F.coalesce(f"_g{j}", F.lit(0.0)) for j in range(dim)]
-    square = reduce(lambda a, b: a + b, [g * g for g in grads]) / F.lit(float(dim))
-    acc = F.col("acc") + square
-    rate = F.lit(lr) / (F.sqrt(acc) + F.lit(EPSILON))
-    return state.join(sums, ["side", "id"], "left").select(
-        "side",
-        "id",
-        F.array(*[F.col("v")[j] - rate * grads[j] for j in range(dim)]).alias("v"),
-        acc.alias("acc"),
-    )
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                u, w = as_matrix(batch.column("u")), as_matrix(batch.column("w"))
+                label = batch.column("label").to_numpy().astype(np.float64)
+                error = (1 / (1 + np.exp(-(u * w).sum(1))) - label)[:, None]
+                for side, key, other in (("user", "user_id", w), ("item", "product_id", u)):
+                    yield partial_rows(side, *by_id(batch.column(key).to_numpy(), error * other))
+
+    def move(batches):
+        for batch in batches:
+            if batch.num_rows:
+                v, g, acc = as_matrix(batch.column("v")), as_matrix(batch.column("g")), batch.column("acc").to_numpy()
+                acc = acc + (g**2).mean(1)
+                v = v - (lr / (np.sqrt(acc) + EPSILON))[:, None] * g
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("side"), batch.column("id"), as_lists(v), pa.array(acc)], names=["side", "id", "v", "acc"]
+                )
+
+    joined = with_logits(pairs, state, dim).select("user_id", "product_id", "label", "u", "w")
+    sums = summed(joined.mapInArrow(run, PARTIAL)).select("side", "id", "g")
+    g = F.coalesce("g", F.array(*[F.lit(0.0)] * dim)).alias("g")
+    return state.join(sums, ["side", "id"], "left").select("side", "id", "v", g, "acc").mapInArrow(move, STATE)
 
 
 def evaluate(pairs: DataFrame, state: DataFrame, dim: int) -> dict[str, float]:

@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.operators.tower_training import PARTIAL, _add_up, _lists, _matrix, _partial
-from affinity.session import materialize, parallelism
+from affinity.operators.partials import PARTIAL, as_lists, as_matrix, partial_rows, summed
+from affinity.session import materialize
 
 MISSING = -1  # the bin of a null, which goes left
 
@@ -65,7 +65,7 @@ class SoftmaxTrees:
             for batch in batches:
                 if batch.num_rows:
                     p = softmax(self.scores(binned(batch, self.features, self.cuts)))
-                    yield batch.append_column("probabilities", _lists(p)).append_column("prediction", pa.array(p.argmax(1), pa.int32()))
+                    yield batch.append_column("probabilities", as_lists(p)).append_column("prediction", pa.array(p.argmax(1), pa.int32()))
 
         return rows.mapInArrow(run, f"{fields}, probabilities array<double>, prediction int")
 
@@ -111,7 +111,7 @@ def _histograms(rows: DataFrame, trees: list[Tree], level: int, n_columns: int,
         sums = np.zeros((labels, count, 2, n_columns * width))
         for batch in batches:
             if batch.num_rows:
-                bins, scores = _matrix(batch.column("bins")).astype(np.int64), _matrix(batch.column("scores"))
+                bins, scores = as_matrix(batch.column("bins")).astype(np.int64), as_matrix(batch.column("scores"))
                 p = softmax(scores)
                 target = batch.column("target").to_numpy()
                 place = np.arange(n_columns)[None, :] * width + bins + 1
@@ -124,10 +124,9 @@ def _histograms(rows: DataFrame, trees: list[Tree], level: int, n_columns: int,
                             each = np.repeat(x[open_], n_columns)
                             sums[k, :, n] += np.bincount(at.ravel(), weights=each, minlength=count * n_columns * width).reshape(count, -1)
         ids = np.flatnonzero(np.abs(sums).sum((2, 3)).ravel() > 0)
-        yield _partial("node", ids, sums.reshape(labels * count, -1)[ids])
+        yield partial_rows("node", ids, sums.reshape(labels * count, -1)[ids])
 
-    dealt = rows.mapInArrow(run, PARTIAL).repartition(parallelism(rows.sparkSession), "side", "id")
-    return dealt.sortWithinPartitions("side", "id").mapInArrow(_add_up, PARTIAL)
+    return summed(rows.mapInArrow(run, PARTIAL))
 
 
 def _grow(rows: DataFrame, cuts, labels: int, max_depth: int, l2: float, least: float) -> list[Tree]:
@@ -138,7 +137,7 @@ def _grow(rows: DataFrame, cuts, labels: int, max_depth: int, l2: float, least:
     for level in range(max_depth + 1):
         first, count, split = 2**level - 1, 2**level, False
         found = _histograms(rows, trees, level, n_columns, width, labels).select("id", "g").toArrow()  # classes x nodes rows
-        for i, flat in zip(found["id"].to_pylist(), _matrix(found["g"].combine_chunks()) if found.num_rows else []):
+        for i, flat in zip(found["id"].to_pylist(), as_matrix(found["g"].combine_chunks()) if found.num_rows else []):
             k, node = divmod(i, count)
             g, h = flat.reshape(2, n_columns, width)
             total_g, total_h = g[0].sum(), h[0].sum()
@@ -170,7 +169,7 @@ def fit(
         for batch in batches:
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("target"), _lists(binned(batch, features, cuts)), _lists(np.zeros((batch.num_rows, labels)))],
+                    [batch.column("target"), as_lists(binned(batch, features, cuts)), as_lists(np.zeros((batch.num_rows, labels)))],
                     names=["target", "bins", "scores"],
                 )
 
@@ -189,9 +188,9 @@ def _scored(trees: list[Tree], rate: float):
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                bins, scores = _matrix(batch.column("bins")).astype(np.int64), _matrix(batch.column("scores"))
+                bins, scores = as_matrix(batch.column("bins")).astype(np.int64), as_matrix(batch.column("scores"))
                 for k, tree in enumerate(trees):
                     scores[:, k] += rate * np.array(tree.value)[tree.leaf(bins)]
-                yield batch.set_column(2, "scores", _lists(scores))
+                yield batch.set_column(2, "scores", as_lists(scores))
 
     return run

@@ -12,7 +12,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +20,13 @@ from affinity.functions.hashing import md5_u32
 from affinity.functions.vectors import bce_with_logits, sigmoid
 from affinity.operators import factors, skew, towers
 from affinity.operators.metrics import auroc
+from affinity.operators.partials import PARTIAL, as_matrix, by_id, partial_rows, summed
 from affinity.operators.towers import Layer
-from affinity.session import materialize, parallelism
+from affinity.session import materialize
 
 SIDES = ("user", "item")
 GROUPS = 16  # in which the tasks' layer gradients meet before the driver
 LAYERS = "layers"
-PARTIAL = "side string, id long, g array<double>, loss double"
 
 
 @dataclass
@@ -129,61 +128,6 @@ def pair_gradients(user: np.ndarray, item: np.ndarray, label: np.ndarray, net: N
     return loss.sum() / n_rows, inputs[0], inputs[1], np.concatenate(flat)
 
 
-def _by_id(ids: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(ids, kind="stable")
-    first = np.flatnonzero(np.concatenate(([True], ids[order][1:] != ids[order][:-1])))
-    return ids[order][first], np.add.reduceat(g[order], first)
-
-
-def _lists(x: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
-
-
-def _matrix(column) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
-
-
-def _partial(side: str, ids: np.ndarray, g: np.ndarray, loss: float = 0.0) -> pa.RecordBatch:
-    n = len(ids)
-    columns = [pa.array([side] * n), pa.array(ids, pa.int64()), _lists(g), pa.array(np.full(n, loss))]
-    return pa.RecordBatch.from_arrays(columns, names=["side", "id", "g", "loss"])
-
-
-def _add_up(batches):
-    """Sums of neighbouring rows of one side and id; rows come in order."""
-    held: dict[str, tuple[int, np.ndarray, float]] = {}
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        sides = batch.column("side").to_numpy(zero_copy_only=False)
-        for lo, hi in _runs(sides):
-            side, ids = sides[lo], batch.column("id").slice(lo, hi - lo).to_numpy()
-            g, loss = _matrix(batch.column("g").slice(lo, hi - lo)), batch.column("loss").slice(lo, hi - lo).to_numpy()
-            first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
-            ids, g, loss = ids[first], np.add.reduceat(g, first), np.add.reduceat(loss, first)
-            if held and (side not in held or held[side][0] != ids[0]):
-                yield from _let_go(held)
-            if side in held:
-                _, before, lost = held.pop(side)
-                g[0], loss[0] = g[0] + before, loss[0] + lost
-            held[side] = (ids[-1], g[-1], loss[-1])
-            if len(ids) > 1:
-                out = _partial(side, ids[:-1], g[:-1])
-                yield out.set_column(3, "loss", pa.array(loss[:-1]))
-    yield from _let_go(held)
-
-
-def _runs(values) -> list[tuple[int, int]]:
-    at = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1], [True])))
-    return list(zip(at[:-1].tolist(), at[1:].tolist()))
-
-
-def _let_go(held):
-    for side, (i, g, loss) in list(held.items()):
-        del held[side]
-        yield _partial(side, np.array([i]), g[None, :], loss)
-
-
 # ---- steps ------------------------------------------------------------------------------
 
 
@@ -204,15 +148,14 @@ def gradients(rows: DataFrame, net: Net, n_rows: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 label = batch.column("label").to_numpy().astype(np.float64)
-                found = pair_gradients(_matrix(batch.column("u")), _matrix(batch.column("w")), label, net, n_rows)
+                found = pair_gradients(as_matrix(batch.column("u")), as_matrix(batch.column("w")), label, net, n_rows)
                 loss, total = loss + found[0], total + found[3]
                 for side, key, g in (("user", "user_id", found[1]), ("item", "product_id", found[2])):
-                    yield _partial(side, *_by_id(batch.column(key).to_numpy(), g))
-        yield _partial(LAYERS, np.array([TaskContext.get().partitionId() % GROUPS]), total[None, :], loss)
+                    yield partial_rows(side, *by_id(batch.column(key).to_numpy(), g))
+        yield partial_rows(LAYERS, np.array([TaskContext.get().partitionId() % GROUPS]), total[None, :], loss)
 
     partial = rows.select("user_id", "product_id", "label", "u", "w").mapInArrow(run, PARTIAL)
-    dealt = partial.repartition(parallelism(rows.sparkSession), "side", "id").sortWithinPartitions("side", "id")
-    return dealt.mapInArrow(_add_up, PARTIAL)
+    return summed(partial)
 
 
 def step(pairs: DataFrame, state: DataFrame, net: Net, dim: int, lr: float, vector_lr: float) -> tuple[DataFrame, Net, float]:
@@ -222,7 +165,7 @@ def step(pairs: DataFrame, state: DataFrame, net: Net, dim: int, lr: float, vect
         return state, net, float("nan")
     found = materialize(gradients(with_vectors(pairs, state, dim), net, n_rows), "gradients")
     sums = found.where(F.col("side") == LAYERS).orderBy("id").toArrow()  # GROUPS rows of the net's size
-    total = _matrix(sums["g"].combine_chunks()).sum(0)
+    total = as_matrix(sums["g"].combine_chunks()).sum(0)
     g = found.where(F.col("side") != LAYERS).select("side", "id", "g")
     square = F.aggregate("g", F.lit(0.0), lambda s, x: s + x * x) / F.lit(float(dim))
     joined = state.join(g.withColumn("_square", square), ["side", "id"], "left")

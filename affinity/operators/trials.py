@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.operators import factors
-from affinity.operators.tower_training import PARTIAL, _add_up, _by_id, _lists, _matrix, _partial, with_vectors
-from affinity.session import materialize, parallelism
+from affinity.operators.partials import PARTIAL, as_lists, as_matrix, by_id, partial_rows, summed
+from affinity.operators.tower_training import with_vectors
+from affinity.session import materialize
 
 STATE = "side string, id long, v array<double>, acc array<double>"
 RESULT = "trial int, dim int, lr double, rung int, epochs int, val_loss double, kept boolean, best boolean, test_loss double"
@@ -34,7 +35,7 @@ def initial_state(pairs: DataFrame, trials: list[dict], seed: int, scale: float
 
 
 def _logits(batch, cuts: list[slice]):
-    u, w = _matrix(batch.column("u")), _matrix(batch.column("w"))
+    u, w = as_matrix(batch.column("u")), as_matrix(batch.column("w"))
     return u, w, np.stack([(u[:, c] * w[:, c]).sum(1) for c in cuts], axis=1)
 
 
@@ -50,21 +51,20 @@ def epoch(pairs: DataFrame, state: DataFrame, trials: list[dict]) -> DataFrame:
                 u, w, logit = _logits(batch, cuts)
                 error = 1 / (1 + np.exp(-logit)) - batch.column("label").to_numpy().astype(np.float64)[:, None]
                 for side, key, other in (("user", "user_id", w), ("item", "product_id", u)):
-                    yield _partial(side, *_by_id(batch.column(key).to_numpy(), error[:, trial] * other))
+                    yield partial_rows(side, *by_id(batch.column(key).to_numpy(), error[:, trial] * other))
 
     def move(batches):
         for batch in batches:
             if batch.num_rows:
-                v, acc, g = (_matrix(batch.column(c)) for c in ("v", "acc", "g"))
+                v, acc, g = (as_matrix(batch.column(c)) for c in ("v", "acc", "g"))
                 acc = acc + np.stack([(g[:, c] ** 2).mean(1) for c in cuts], axis=1)
                 v = v - (lr / (np.sqrt(acc) + factors.EPSILON))[:, trial] * g
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("side"), batch.column("id"), _lists(v), _lists(acc)], names=["side", "id", "v", "acc"]
+                    [batch.column("side"), batch.column("id"), as_lists(v), as_lists(acc)], names=["side", "id", "v", "acc"]
                 )
 
     rows = with_vectors(pairs, state, width).select("user_id", "product_id", "label", "u", "w")
-    dealt = rows.mapInArrow(run, PARTIAL).repartition(parallelism(pairs.sparkSession), "side", "id")
-    sums = dealt.sortWithinPartitions("side", "id").mapInArrow(_add_up, PARTIAL).select("side", "id", "g")
+    sums = summed(rows.mapInArrow(run, PARTIAL)).select("side", "id", "g")
     still = F.coalesce("g", F.array(*[F.lit(0.0)] * width)).alias("g")
     return state.join(sums, ["side", "id"], "left").select("side", "id", "v", "acc", still).mapInArrow(move, STATE)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from affinity.functions.vectors import dot
@@ -122,6 +123,37 @@ def ranker_forward(spark, sf):
     return ranked.select("user_id", "product_id", S.rounded("logit").alias("logit"))
 
 
+@query(
+    "score_with_model",
+    f"""select o_orderkey order_id, {S.r6('1/(1+exp(-(o_totalprice/100000 - 1.5::double)))')} prediction_prob from orders""",
+)
+def score_with_model(spark, sf):
+    """Any model over batches of rows; here one of a single price."""
+
+    def load():
+        return lambda rows: 1 / (1 + np.exp(-(rows["o_totalprice"].to_numpy() / 100000 - 1.5)))
+
+    orders = S.table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    scored = towers.predict_with(orders, ["o_totalprice"], load)
+    return scored.select(F.col("o_orderkey").alias("order_id"), S.rounded("prediction_prob").alias("prediction_prob"))
+
+
+@query(
+    "embed_with_model",
+    """select p_partkey product_id, position::integer position, (case position when 0 then length(p_name)
+        else length(p_name) - length(replace(p_name, 'e', '')) end)::double "value" from part, range(2) r(position)""",
+)
+def embed_with_model(spark, sf):
+    """Any text model over batches; here the length of a name and its letters e."""
+
+    def load():
+        return lambda texts: np.array([[len(t), t.count("e")] for t in texts], dtype=float)
+
+    names = S.products(spark, sf).select("product_id", "product_name")
+    found = features.embed_with(names, "product_name", load)
+    return S.long_form(found, ["product_id"], "embedding")
+
+
 EPOCH_DIM, EPOCH_LR = 4, 0.1
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from affinity.operators import batch_negatives as bn
-from affinity.operators import factors, skew, towers
+from affinity.operators import factors, partials, skew, towers
 from affinity.operators import tower_training as tt
 from affinity.plans import stand_ins as S
 from affinity.session import materialize
@@ -43,14 +43,14 @@ def test_partial_sums_meet_across_batches():
         want[side, i] = want.get((side, i), 0) + x
     batches = [
         pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows[a : a + n]]), pa.array([r[1] for r in rows[a : a + n]], pa.int64()), tt._lists(g[a : a + n]), pa.array(np.ones(len(rows[a : a + n])))],
+            [pa.array([r[0] for r in rows[a : a + n]]), pa.array([r[1] for r in rows[a : a + n]], pa.int64()), partials.as_lists(g[a : a + n]), pa.array(np.ones(len(rows[a : a + n])))],
             names=["side", "id", "g", "loss"],
         )
         for n in (1, 3, 60) for a in range(0, len(rows), n)
     ]
     for n, count in ((1, len(rows)), (3, -(-len(rows) // 3)), (60, 1)):
         some, batches = batches[:count], batches[count:]
-        got = [r for b in tt._add_up(iter(some)) for r in b.to_pylist()]
+        got = [r for b in partials.add_up(iter(some)) for r in b.to_pylist()]
         assert [(r["side"], r["id"]) for r in got] == sorted(want)
         for r in got:
             assert np.allclose(r["g"], want[r["side"], r["id"]])
