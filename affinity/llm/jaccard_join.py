@@ -46,6 +46,7 @@ from affinity.session import materialize
 
 CHUNK = 2_000_000
 REGION = 30_000  # entities that one task compares
+AT_A_TIME = 1_000_000  # n-grams of a comparison that are looked up together
 PIVOTS = 8
 ROUNDS = 4
 SEEN = 1_000_000  # entities a task remembers so as not to send equal sets twice
@@ -212,18 +213,24 @@ class Region:
     def __init__(self, names: np.ndarray, sets: list[np.ndarray]):
         self.names = names
         self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
-        self.vocabulary, self.places = np.unique(np.concatenate(sets), return_inverse=True)
+        self.vocabulary, places = np.unique(np.concatenate(sets), return_inverse=True)
+        self.places = places.astype(np.int32)
         self.start = np.cumsum(self.sizes) - self.sizes
         self.root = np.arange(len(sets))
 
     def shared(self, i: int, with_: np.ndarray) -> np.ndarray:
         """Sizes of the intersections of set ``i`` with the sets ``with_``."""
-        mark = np.zeros(len(self.vocabulary), dtype=np.int64)
+        mark = np.zeros(len(self.vocabulary), dtype=np.uint8)
         mark[self.places[self.start[i] : self.start[i] + self.sizes[i]]] = 1
-        sizes = self.sizes[with_]
-        first = np.cumsum(sizes) - sizes
-        at = np.repeat(self.start[with_] - first, sizes) + np.arange(int(sizes.sum()))
-        return np.add.reduceat(mark[self.places[at]], first)
+        out, ends, lo = np.empty(len(with_), dtype=np.int64), np.cumsum(self.sizes[with_]), 0
+        while lo < len(with_):  # a bounded number of n-grams at a time
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + AT_A_TIME, side="right")))
+            sizes = self.sizes[with_[lo:hi]]
+            first = np.cumsum(sizes) - sizes
+            at = np.repeat(self.start[with_[lo:hi]] - first, sizes) + np.arange(int(sizes.sum()))
+            out[lo:hi] = np.add.reduceat(mark[self.places[at]], first, dtype=np.int64)
+            lo = hi
+        return out
 
     def find(self, i: int) -> int:
         while self.root[i] != i:
@@ -256,30 +263,41 @@ class Region:
             if self.find(i) not in used:
                 self.join(i, everyone, num, den, edges)
                 used.add(self.find(i))
-        frequency = np.bincount(self.places)
-        owner = np.repeat(everyone, self.sizes)
-        shared = frequency[self.places] > 1
-        order = np.lexsort((self.places, frequency[self.places], owner))
-        rank = np.empty(len(order), dtype=np.int64)
-        rank[order] = np.arange(len(order)) - np.repeat(self.start, self.sizes)
+        frequency = np.bincount(self.places).astype(np.int32)[self.places]
+        owner = np.repeat(everyone.astype(np.int32), self.sizes)
+        shared = frequency > 1
+        order = np.lexsort((self.places, frequency, owner))
+        del frequency
+        rank = np.empty(len(order), dtype=np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32) - np.repeat(self.start.astype(np.int32), self.sizes)
         need = -(-num * self.sizes // den)
         first = np.flatnonzero(shared & (rank < np.repeat(self.sizes - need + 1, self.sizes)))
         first = first[np.argsort(self.places[first], kind="stable")]
         place, docs = self.places[first], owner[first]
-        cuts = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1]))) if len(place) else []
-        measured = set()
-        for a, b in zip(cuts, np.append(cuts[1:], len(place))):
-            cell = docs[a:b]
-            for k in range(len(cell) - 1):
-                i, later = int(cell[k]), cell[k + 1 :]
-                fit = (self.sizes[later] * den >= num * self.sizes[i]) & (self.sizes[i] * den >= num * self.sizes[later])
-                root = self.find(i)
-                open_ = [j for j in later[fit].tolist() if self.find(j) != root and (i, j) not in measured]
-                if open_:
-                    measured.update((i, j) for j in open_)
-                    self.join(i, np.array(open_), num, den, edges)
+        del owner, shared, order, rank
+        # of each entry of the lists by n-gram, where its list ends; a set meets the later ones of all its lists at once
+        ends = np.searchsorted(place, place, side="right")
+        by_set = np.argsort(docs, kind="stable")
+        bounds = np.searchsorted(docs[by_set], np.arange(count + 1))
+        for i in range(count):
+            entries = by_set[bounds[i] : bounds[i + 1]]
+            entries = entries[ends[entries] > entries + 1]
+            if not len(entries):
+                continue
+            later = np.unique(np.concatenate([docs[e + 1 : ends[e]] for e in entries.tolist()]))
+            fit = (self.sizes[later] * den >= num * self.sizes[i]) & (self.sizes[i] * den >= num * self.sizes[later])
+            later = later[fit]
+            later = later[self.roots(later) != self.find(i)]
+            if len(later):
+                self.join(i, later, num, den, edges)
         return edges
 
+    def roots(self, of: np.ndarray) -> np.ndarray:
+        root = self.root[of]
+        while (self.root[root] != root).any():
+            root = self.root[root]
+        return root
+
 
 def _lists(column) -> list[np.ndarray]:
     flat, ends = column.flatten().to_numpy(), column.offsets.to_numpy()
