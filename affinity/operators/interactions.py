@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions.hashing import TWO_32, hex_u32, md5_hex
-from affinity.operators.ranking import hot_groups
 from affinity.session import materialize
 
 
@@ -45,16 +44,18 @@ def item_sets(
 ) -> DataFrame:
     """The set of items of each group as sorted arrays, with the part number and size.
 
-    An ordinary group is one row with ``part`` 0. A group too large for one row is spread
-    over several parts by a hash of the item, so its set stays whole and no row is unbounded.
+    A group of up to ``rows_per_task`` items is one row with ``part`` 0. A larger one is spread over as many
+    parts as its size asks for, by a hash of the item, so its set stays whole and no row is unbounded.
+    The parts of a group depend on that group alone, not on the rest of the table.
     """
     distinct = materialize(pairs.select(group, item).distinct(), "sets")
-    hot = materialize(hot_groups(distinct, [group], rows_per_task), "hot")
+    sizes = distinct.groupBy(group).agg(F.count("*").alias("_rows")).where(F.col("_rows") > rows_per_task)
+    hot = materialize(sizes.select(group, F.ceil(F.col("_rows") / rows_per_task).alias("_buckets")), "hot")
     if hot.isEmpty():
         parted = distinct.withColumn("part", F.lit(0).cast("bigint"))
     else:
         share = hex_u32(md5_hex(0, item)) / F.lit(TWO_32)
-        parted = distinct.join(F.broadcast(hot), [group], "left").withColumn(
+        parted = distinct.join(hot, [group], "left").withColumn(
             "part", F.coalesce(F.floor(share * F.col("_buckets")), F.lit(0)).cast("bigint")
         )
     return (

@@ -84,17 +84,20 @@ def tower_with_dense(
 
 
 def with_pair_vectors(
-    pairs: DataFrame, users: DataFrame, items: DataFrame, user="user_id", item="product_id"
+    pairs: DataFrame, users: DataFrame, items: DataFrame, user="user_id", item="product_id", how="inner"
 ) -> DataFrame:
-    """Pairs joined to both vector tables; pairs with an unknown id are dropped."""
-    return pairs.join(users.select(user, F.col("embedding").alias("user_vector")), [user]).join(
-        items.select(item, F.col("embedding").alias("item_vector")), [item]
+    """Pairs joined to both vector tables; pairs with an unknown id are dropped, or kept with nulls (``left``)."""
+    return pairs.join(users.select(user, F.col("embedding").alias("user_vector")), [user], how).join(
+        items.select(item, F.col("embedding").alias("item_vector")), [item], how
     )
 
 
-def score_pairs(pairs, users, items, user="user_id", item="product_id", threshold=0.5):
-    """Pairs with logit, probability and class (probability at or above ``threshold``)."""
-    scored = with_pair_vectors(pairs, users, items, user, item).withColumn(
+def score_pairs(pairs, users, items, user="user_id", item="product_id", threshold=0.5, how="inner"):
+    """Pairs with logit, probability and class (probability at or above ``threshold``).
+
+    With ``how="left"`` every pair comes back, those with an unknown id with nulls.
+    """
+    scored = with_pair_vectors(pairs, users, items, user, item, how).withColumn(
         "logit", dot("user_vector", "item_vector")
     )
     return (

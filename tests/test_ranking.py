@@ -60,3 +60,11 @@ def test_item_sets_of_a_hot_user_stay_whole_in_parts(spark):
     want = [r.product_id for r in pairs.where("user_id = 0").collect()]
     assert sorted(items) == sorted(want)
     assert all(r.n_items == len(r.products) for r in parts)
+
+
+def test_parts_of_a_set_depend_on_its_group_alone(spark):
+    pairs = spark.range(900).select((F.col("id") % 3).alias("user_id"), F.col("id").alias("product_id"))
+    more = pairs.union(spark.range(5000, 90_000).select(F.lit(9).cast("bigint"), "id"))
+    alone, among = (interactions.item_sets(p, rows_per_task=100).where("user_id < 3") for p in (pairs, more))
+    assert sorted(map(tuple, alone.collect())) == sorted(map(tuple, among.collect()))
+    assert alone.groupBy("user_id").count().where("count <> 3").isEmpty()

@@ -180,4 +180,7 @@ def test_rows_with_unknown_ids_come_back(spark):
     items = spark.createDataFrame([(1, [1.0])], "product_id bigint, embedding array<double>")
     got = skew.lookup(rows, items, "product_id", "left").collect()
     assert {(r["product_id"], tuple(r["embedding"] or ())) for r in got} == {(1, (1.0,)), (2, ())}
-    assert towers.keyed_layers(1, [2, 1])[0][0].shape == (2, 1)
+    users = spark.createDataFrame([(1, [2.0])], "user_id bigint, embedding array<double>")
+    scored = towers.score_pairs(rows, users, items, how="left").collect()
+    assert {(r["product_id"], r["logit"], r["predicted_classes"]) for r in scored} == {(1, 2.0, 1), (2, None, None)}
+    assert towers.score_pairs(rows, users, items).count() == 1
