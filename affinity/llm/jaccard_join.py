@@ -213,22 +213,34 @@ class Region:
     def __init__(self, names: np.ndarray, sets: list[np.ndarray]):
         self.names = names
         self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
-        self.vocabulary, places = np.unique(np.concatenate(sets), return_inverse=True)
-        self.places = places.astype(np.int32)
-        self.start = np.cumsum(self.sizes) - self.sizes
+        every = np.concatenate(sets)
+        in_order = np.sort(every)
+        # n-grams of one set alone can't be shared; only their number counts
+        self.vocabulary = np.unique(in_order[1:][in_order[1:] == in_order[:-1]])
+        del in_order
+        at = np.searchsorted(self.vocabulary, every)
+        known = np.zeros(len(every), dtype=bool)
+        if len(self.vocabulary):
+            known = self.vocabulary[np.minimum(at, len(self.vocabulary) - 1)] == every
+        self.places = at[known].astype(np.int32)
+        ends = np.cumsum(self.sizes)
+        before = np.concatenate(([0], np.cumsum(known)))
+        self.common = before[ends] - before[ends - self.sizes]
+        self.start = np.cumsum(self.common) - self.common
         self.root = np.arange(len(sets))
 
     def shared(self, i: int, with_: np.ndarray) -> np.ndarray:
         """Sizes of the intersections of set ``i`` with the sets ``with_``."""
         mark = np.zeros(len(self.vocabulary), dtype=np.uint8)
-        mark[self.places[self.start[i] : self.start[i] + self.sizes[i]]] = 1
-        out, ends, lo = np.empty(len(with_), dtype=np.int64), np.cumsum(self.sizes[with_]), 0
+        mark[self.places[self.start[i] : self.start[i] + self.common[i]]] = 1
+        out, ends, lo = np.empty(len(with_), dtype=np.int64), np.cumsum(self.common[with_]), 0
         while lo < len(with_):  # a bounded number of n-grams at a time
             hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + AT_A_TIME, side="right")))
-            sizes = self.sizes[with_[lo:hi]]
+            sizes = self.common[with_[lo:hi]]
             first = np.cumsum(sizes) - sizes
             at = np.repeat(self.start[with_[lo:hi]] - first, sizes) + np.arange(int(sizes.sum()))
-            out[lo:hi] = np.add.reduceat(mark[self.places[at]], first, dtype=np.int64)
+            sums = np.concatenate(([0], np.cumsum(mark[self.places[at]], dtype=np.int64)))
+            out[lo:hi] = sums[first + sizes] - sums[first]
             lo = hi
         return out
 
@@ -263,18 +275,18 @@ class Region:
             if self.find(i) not in used:
                 self.join(i, everyone, num, den, edges)
                 used.add(self.find(i))
-        frequency = np.bincount(self.places).astype(np.int32)[self.places]
-        owner = np.repeat(everyone.astype(np.int32), self.sizes)
-        shared = frequency > 1
+        frequency = np.bincount(self.places, minlength=1).astype(np.int32)[self.places]
+        owner = np.repeat(everyone.astype(np.int32), self.common)
         order = np.lexsort((self.places, frequency, owner))
         del frequency
-        rank = np.empty(len(order), dtype=np.int32)
-        rank[order] = np.arange(len(order), dtype=np.int32) - np.repeat(self.start.astype(np.int32), self.sizes)
+        # the place among a set's n-grams; those of the set alone are its rarest
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order)) - np.repeat(self.start - (self.sizes - self.common), self.common)
         need = -(-num * self.sizes // den)
-        first = np.flatnonzero(shared & (rank < np.repeat(self.sizes - need + 1, self.sizes)))
+        first = np.flatnonzero(rank < np.repeat(self.sizes - need + 1, self.common))
         first = first[np.argsort(self.places[first], kind="stable")]
         place, docs = self.places[first], owner[first]
-        del owner, shared, order, rank
+        del owner, order, rank
         # of each entry of the lists by n-gram, where its list ends; a set meets the later ones of all its lists at once
         ends = np.searchsorted(place, place, side="right")
         by_set = np.argsort(docs, kind="stable")
