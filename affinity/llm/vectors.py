@@ -93,8 +93,10 @@ def meet(queries: DataFrame, items: DataFrame, score: Callable, schema: str, per
     chunks = max(1, -(-queries.count() // per_chunk))
     asked = queries.withColumn("_chunk", F.pmod(F.xxhash64("_id"), F.lit(chunks))).withColumn("_group", F.explode("_groups")).drop("_groups")
     held = items.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint"))))
+    # cells cost far more to score than their bytes tell, so the number of partitions is given
+    cell, n = ["_group", "_chunk"], parallelism(items.sparkSession)
     return (
-        held.groupBy("_group", "_chunk").cogroup(asked.groupBy("_group", "_chunk"))
+        held.repartition(n, *cell).groupBy(*cell).cogroup(asked.repartition(n, *cell).groupBy(*cell))
         .applyInArrow(lambda left, right: score(left, right) if left.num_rows and right.num_rows else empty(schema), schema)
     )
 
