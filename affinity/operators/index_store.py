@@ -9,8 +9,6 @@ writes the live rows as one segment again.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -187,12 +185,6 @@ def search(
     visited = None
     if nprobe < n_cells:
         asked = retrieval.prepared_vectors(queries, query_id, vector, index.metric)
-        visited = _visited(asked, index.cells, retrieval.nearest_cells(nprobe, index.metric))
+        visited = retrieval.visited_cells(asked, index.cells, retrieval.nearest_cells(nprobe, index.metric))
     index = load(spark, path, version, visited)
     return retrieval.search_index(index, queries, k, nprobe, query_id, vector, **options)
-
-
-def _visited(asked: DataFrame, cells: Cells, choose: Callable) -> list[int]:
-    given = asked.select("_id", "_vec", F.lit(0).cast("bigint").alias("_need"), F.lit(0.0).alias("_floor"))
-    rows = retrieval._route(given, cells, choose).select(F.explode("_cells").alias("c")).distinct()
-    return sorted(r["c"] for r in rows.collect())  # cells at most
