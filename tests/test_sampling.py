@@ -127,3 +127,26 @@ def test_shuffle_keeps_rows_and_mixes_them(spark):
     rows = spark.range(1000)
     mixed = [r.id for r in sampling.shuffle_rows(rows, ["id"], partitions=4).collect()]
     assert sorted(mixed) == list(range(1000)) and mixed != list(range(1000))
+
+
+def test_draws_in_tasks_and_in_blocks_are_the_same(spark, sf, monkeypatch):
+    """Users of all sizes: a task's numpy draws, with the catalogue held or joined, are those of Spark's blocks."""
+    pos = S.positives(spark, sf).cache()
+    odd = spark.createDataFrame([(-5, 10**6, 1), (-5, 3, 1), (None, 4, 1)], "user_id bigint, product_id bigint, label int")
+    pos = pos.unionByName(odd)
+    shelf = pos.where("product_id < 1000").select("product_id").distinct()
+    for options in ({}, {"per_positive": 3, "clamp": True}):
+        blocks = sampling.negative_samples(pos, shelf, draws_per_task=7, **options)
+        tasks = sampling.negative_samples(pos, shelf, **options)
+        assert "MapInArrow" in tasks._jdf.queryExecution().executedPlan().toString()
+        assert tasks.exceptAll(blocks).isEmpty() and blocks.exceptAll(tasks).isEmpty()
+        monkeypatch.setattr(sampling, "SHELF_BYTES", 0)
+        joined = sampling.negative_samples(pos, shelf, **options)
+        monkeypatch.undo()
+        assert tasks.exceptAll(joined).isEmpty() and joined.count() == tasks.count()
+
+
+def test_split_hashes_after_the_shuffle(spark, sf):
+    pos = S.positives(spark, sf)
+    plan = sampling.split_per_user(pos)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("md5") < plan.index("RepartitionByExpression")
