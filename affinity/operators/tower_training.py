@@ -1,10 +1,9 @@
 """Training two towers: id vectors through dense layers, scored by the dot product of the outputs.
 
-A step is one pass over the given pairs. Every task runs both towers forward and back over Arrow batches; it
-adds up the gradients of the layers, which have a fixed size, and gives them out once, and those of id
-vectors summed by id for each batch. One shuffle adds the partial sums: layer gradients meet in a few
-groups first, whose sums (a fixed number of rows of fixed size) the driver adds. Layers take an Adam step,
-id vectors a row-wise Adagrad step.
+A step is one pass over the given pairs, in tiles (``operators.tiles``). A tile's task runs both towers forward and
+back over its pairs; it adds up the gradients of the layers, which have a fixed size, and those of its id vectors, and
+gives them out once. One shuffle adds these sums; the layers' come to the driver as one row. Layers take an Adam
+step, id vectors a row-wise Adagrad step.
 """
 
 from __future__ import annotations
@@ -12,21 +11,17 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.functions.hashing import md5_u32
 from affinity.functions.vectors import bce_with_logits, sigmoid
-from affinity.operators import factors, skew, towers
+from affinity.operators import factors, tiles, towers
 from affinity.operators.metrics import auroc
-from affinity.operators.partials import PARTIAL, as_matrix, by_id, partial_rows, summed
 from affinity.operators.towers import Layer
 from affinity.session import materialize
 
 SIDES = ("user", "item")
-GROUPS = 16  # in which the tasks' layer gradients meet before the driver
-LAYERS = "layers"
 
 
 @dataclass
@@ -131,50 +126,22 @@ def pair_gradients(user: np.ndarray, item: np.ndarray, label: np.ndarray, net: N
 # ---- steps ------------------------------------------------------------------------------
 
 
-def with_vectors(pairs: DataFrame, state: DataFrame, dim: int) -> DataFrame:
-    """Pairs with both id vectors (``u``, ``w``); a popular id's vector goes to the pairs, not they to it."""
-    out = pairs.select("user_id", "product_id", "label")
-    for side, key, name in (("user", "user_id", "u"), ("item", "product_id", "w")):
-        vectors = state.where(F.col("side") == side).select(F.col("id").alias(key), F.col("v").alias(name))
-        out = skew.lookup(out, vectors, key, row_bytes=8 * dim + 64)
-    return out
-
-
-def gradients(rows: DataFrame, net: Net, n_rows: int) -> DataFrame:
-    """Sums (side, id, g, loss): id vectors under ``user`` and ``item``, partial sums of the layers under ``layers``."""
-
-    def run(batches):
-        total, loss = np.zeros(len(net.flat())), 0.0
-        for batch in batches:
-            if batch.num_rows:
-                label = batch.column("label").to_numpy().astype(np.float64)
-                found = pair_gradients(as_matrix(batch.column("u")), as_matrix(batch.column("w")), label, net, n_rows)
-                loss, total = loss + found[0], total + found[3]
-                for side, key, g in (("user", "user_id", found[1]), ("item", "product_id", found[2])):
-                    yield partial_rows(side, *by_id(batch.column(key).to_numpy(), g))
-        yield partial_rows(LAYERS, np.array([TaskContext.get().partitionId() % GROUPS]), total[None, :], loss)
-
-    partial = rows.select("user_id", "product_id", "label", "u", "w").mapInArrow(run, PARTIAL)
-    return summed(partial)
-
-
 def step(pairs: DataFrame, state: DataFrame, net: Net, dim: int, lr: float, vector_lr: float) -> tuple[DataFrame, Net, float]:
     """One step over all of ``pairs``: the new id vectors, the new net, and the loss before."""
     n_rows = pairs.count()
     if not n_rows:
         return state, net, float("nan")
-    found = materialize(gradients(with_vectors(pairs, state, dim), net, n_rows), "gradients")
-    sums = found.where(F.col("side") == LAYERS).orderBy("id").toArrow()  # GROUPS rows of the net's size
-    total = as_matrix(sums["g"].combine_chunks()).sum(0)
-    g = found.where(F.col("side") != LAYERS).select("side", "id", "g")
-    square = F.aggregate("g", F.lit(0.0), lambda s, x: s + x * x) / F.lit(float(dim))
-    joined = state.join(g.withColumn("_square", square), ["side", "id"], "left")
-    acc = F.col("acc") + F.coalesce("_square", F.lit(0.0))
-    rate = F.lit(vector_lr) / (F.sqrt("_acc") + F.lit(factors.EPSILON))
-    moved = joined.withColumn("_acc", acc).withColumn("_rate", rate)
-    v = F.when(F.col("g").isNull(), F.col("v")).otherwise(F.zip_with("v", "g", lambda x, d: x - F.col("_rate") * d))
-    new = moved.select("side", "id", v.alias("v"), F.col("_acc").alias("acc"))
-    return materialize(new, "tower-vectors"), net.adam(total, lr), float(np.sum(sums["loss"].to_numpy()))
+
+    def learn(u, w, label):
+        loss, gu, gw, flat = pair_gradients(u, w, label, net, n_rows)
+        return gu, gw, np.append(flat, loss)
+
+    history = state.withColumn("acc", F.array("acc"))
+    found = tiles.run_pass(history, dim, train=pairs, learn=learn, move=factors.adagrad(vector_lr))
+    found = materialize(found, "tower-vectors")
+    sums = tiles.sums_of(found, "learned")
+    total = np.array(sums[0][1]) if sums else np.zeros(len(net.flat()) + 1)
+    return factors.as_state(found), net.adam(total[:-1], lr), float(total[-1])
 
 
 def initial_net(dim: int, widths: list[int], seed: int, scale: float = 1.0) -> Net:

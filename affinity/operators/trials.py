@@ -1,6 +1,6 @@
 """Trials of factor training side by side, with successive halving.
 
-The vectors that an id has in all trials stand end to end in one array, so one pair of joins brings what every
+The vectors that an id has in all trials stand end to end in one array, so one pass over the tiles (``operators.tiles``) brings what every
 trial needs and one job takes an epoch of all of them: its gradients are sums by id of such arrays. After each
 rung the trials with the higher validation losses are dropped, and their parts of the arrays with them.
 """
@@ -8,16 +8,12 @@ rung the trials with the higher validation losses are dropped, and their parts o
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.operators import factors
-from affinity.operators.partials import PARTIAL, as_lists, as_matrix, by_id, partial_rows, summed
-from affinity.operators.tower_training import with_vectors
+from affinity.operators import factors, tiles
 from affinity.session import materialize
 
-STATE = "side string, id long, v array<double>, acc array<double>"
 RESULT = "trial int, dim int, lr double, rung int, epochs int, val_loss double, kept boolean, best boolean, test_loss double"
 
 
@@ -34,9 +30,8 @@ def initial_state(pairs: DataFrame, trials: list[dict], seed: int, scale: float
     return one.select("side", "id", v.alias("v"), F.array(*[F.lit(0.0)] * len(trials)).alias("acc"))
 
 
-def _logits(batch, cuts: list[slice]):
-    u, w = as_matrix(batch.column("u")), as_matrix(batch.column("w"))
-    return u, w, np.stack([(u[:, c] * w[:, c]).sum(1) for c in cuts], axis=1)
+def _logits(u, w, cuts: list[slice]) -> np.ndarray:
+    return np.stack([(u[:, c] * w[:, c]).sum(1) for c in cuts], axis=1)
 
 
 def epoch(pairs: DataFrame, state: DataFrame, trials: list[dict]) -> DataFrame:
@@ -45,50 +40,29 @@ def epoch(pairs: DataFrame, state: DataFrame, trials: list[dict]) -> DataFrame:
     lr = np.array([t["lr"] for t in trials])
     trial = np.repeat(np.arange(len(trials)), [t["dim"] for t in trials])
 
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                u, w, logit = _logits(batch, cuts)
-                error = 1 / (1 + np.exp(-logit)) - batch.column("label").to_numpy().astype(np.float64)[:, None]
-                for side, key, other in (("user", "user_id", w), ("item", "product_id", u)):
-                    yield partial_rows(side, *by_id(batch.column(key).to_numpy(), error[:, trial] * other))
-
-    def move(batches):
-        for batch in batches:
-            if batch.num_rows:
-                v, acc, g = (as_matrix(batch.column(c)) for c in ("v", "acc", "g"))
-                acc = acc + np.stack([(g[:, c] ** 2).mean(1) for c in cuts], axis=1)
-                v = v - (lr / (np.sqrt(acc) + factors.EPSILON))[:, trial] * g
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("side"), batch.column("id"), as_lists(v), as_lists(acc)], names=["side", "id", "v", "acc"]
-                )
-
-    rows = with_vectors(pairs, state, width).select("user_id", "product_id", "label", "u", "w")
-    sums = summed(rows.mapInArrow(run, PARTIAL)).select("side", "id", "g")
-    still = F.coalesce("g", F.array(*[F.lit(0.0)] * width)).alias("g")
-    return state.join(sums, ["side", "id"], "left").select("side", "id", "v", "acc", still).mapInArrow(move, STATE)
+    def learn(u, w, label):
+        error = (factors.probability(_logits(u, w, cuts)) - label[:, None])[:, trial]
+        return error * w, error * u, np.zeros(1)
+
+    def move(v, g, acc):
+        acc = acc + np.stack([(g[:, c] ** 2).mean(1) for c in cuts], axis=1)
+        return v - (lr / (np.sqrt(acc) + factors.EPSILON))[:, trial] * g, acc
+
+    return tiles.vectors_of(tiles.run_pass(state, width, train=pairs, learn=learn, move=move))
 
 
 def losses(pairs: DataFrame, state: DataFrame, trials: list[dict]) -> list[float]:
     """The mean loss of each trial over the pairs whose ids are known."""
     cuts = _cuts(trials)
 
-    def run(batches):
-        total, n = np.zeros(len(cuts)), 0
-        for batch in batches:
-            if batch.num_rows:
-                logit = _logits(batch, cuts)[2]
-                label = batch.column("label").to_numpy().astype(np.float64)[:, None]
-                total += (np.maximum(logit, 0) - logit * label + np.log1p(np.exp(-np.abs(logit)))).sum(0)
-                n += batch.num_rows
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(cuts)), pa.int32()), pa.array(total), pa.array(np.full(len(cuts), n), pa.int64())], names=["t", "loss", "n"]
-        )
-
-    rows = with_vectors(pairs, state, sum(t["dim"] for t in trials)).select("label", "u", "w")
-    found = rows.mapInArrow(run, "t int, loss double, n long").groupBy("t").agg(F.sum("loss").alias("loss"), F.sum("n").alias("n"))
-    by_trial = {r["t"]: r["loss"] / r["n"] if r["n"] else float("nan") for r in found.collect()}  # a row for each trial
-    return [by_trial.get(t, float("nan")) for t in range(len(trials))]
+    def score(u, w, label):
+        logit = _logits(u, w, cuts)
+        loss = np.maximum(logit, 0) - logit * label[:, None] + np.log1p(np.exp(-np.abs(logit)))
+        return None, np.append(loss.sum(0), len(logit))
+
+    found = materialize(tiles.run_pass(state, sum(t["dim"] for t in trials), rows=pairs, score=score), "losses")
+    sums = tiles.sums_of(found, "scored")
+    return [x / sums[0][1][-1] for x in sums[0][1][:-1]] if sums else [float("nan")] * len(trials)
 
 
 def keep(state: DataFrame, trials: list[dict], kept: list[int]) -> DataFrame:
