@@ -125,3 +125,37 @@ def brute_without_limits(rows, target, n):
             means.append(loss / max(1, len(ids) - 1))
         out[d] = means[1] - means[0]
     return out
+
+
+def test_few_known_words_give_the_same_scores(spark, sf, monkeypatch):
+    """Words that tasks don't hold, and their pairs, take the other way; both give exact scores."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").limit(40).collect()]
+    target = [r["text"] for r in spark.read.parquet(f"{sf}/conversations.parquet").where("role = 'assistant'").limit(60).collect()]
+    rows += [(-1, ""), (-2, None), (-3, target[0])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    aims = spark.createDataFrame([(t,) for t in target], "text string")
+    vocabulary = {w for t in [*target, *(t for _, t in rows)] for w in words(t)}
+    want = brute_without_limits(rows, target, len(vocabulary) + 1)
+    for known, hot, per_tile in ((1, 1_000, 6_000_000), (40, 3, 2_000), (4_000_000, 1, 500)):
+        monkeypatch.setattr(lm, "KNOWN", known)
+        monkeypatch.setattr(lm, "HOT", hot)
+        monkeypatch.setattr(lm, "PER_TILE", per_tile)
+        got = lm.cross_entropy_difference(docs, aims).collect()
+        assert sorted(r["doc_id"] for r in got) == sorted(want)
+        for r in got:
+            assert math.isclose(r["score"], want[r["doc_id"]], abs_tol=1e-9), (known, r)
+
+
+def test_a_token_is_a_few_bytes(spark, sf, monkeypatch):
+    """Words and pairs went through shuffles as rows of their own, twice (over 40 bytes a token)."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    sent, packed = [], lm._packed
+
+    def spied(rows, known, tiles, aim):
+        out = packed(rows, known, tiles, aim)
+        sent.append(out.selectExpr("count(*) n", "sum(length(a) + length(b)) bytes").first())
+        return out
+
+    monkeypatch.setattr(lm, "_packed", spied)
+    tokens = sum(r["n_tokens"] for r in lm.cross_entropy_difference(docs, docs.select("text").limit(5)).collect())
+    assert sent[0]["n"] < 1_000 and sent[0]["bytes"] < 8 * tokens
