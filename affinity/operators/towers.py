@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from affinity.functions.hashing import md5_uniform
 from affinity.functions.vectors import as_doubles, dot, sigmoid
+from affinity.operators import pair_scores
 
 Layer = tuple[np.ndarray, np.ndarray]
 
@@ -95,14 +96,16 @@ def with_pair_vectors(
 def score_pairs(pairs, users, items, user="user_id", item="product_id", threshold=0.5, how="inner"):
     """Pairs with logit, probability and class (probability at or above ``threshold``).
 
-    With ``how="left"`` every pair comes back, those with an unknown id with nulls.
+    With ``how="left"`` every pair comes back, those with an unknown id with nulls. Pairs and vectors meet in
+    tiles; streams and ids that aren't whole numbers are joined.
     """
-    scored = with_pair_vectors(pairs, users, items, user, item, how).withColumn(
-        "logit", dot("user_vector", "item_vector")
-    )
+    if pair_scores.fits(pairs, users, items, user, item, how):
+        scored = pair_scores.score(pairs, users, items, user, item, how, "logit")
+    else:
+        joined = with_pair_vectors(pairs, users, items, user, item, how)
+        scored = joined.withColumn("logit", dot("user_vector", "item_vector")).drop("user_vector", "item_vector")
     return (
-        scored.drop("user_vector", "item_vector")
-        .withColumn("prediction_prob", sigmoid("logit"))
+        scored.withColumn("prediction_prob", sigmoid("logit"))
         .withColumn("predicted_classes", classify("prediction_prob", threshold))
     )
 
