@@ -116,3 +116,18 @@ def test_empty_tables_repeats_and_null_ids(spark, tools):
     want = brute(["one two"] * 3 + [None], tools)
     got = sorted((tuple(r)[1:], r["doc_id"] or 0) for r in ta.align(frame, A, B).collect())
     assert got == sorted([(want[0][1:], 0), (want[1][1:], 7), (want[2][1:], 7), (want[3][1:], 7)])
+
+
+def test_groups_are_made_once_for_a_piece(monkeypatch):
+    """They were made for every place of it."""
+    with open(A, encoding="utf-8") as a, open(B, "rb") as b:
+        aligner = ta.Aligner(a.read(), b.read())
+    seen, made = [], ta.Groups
+    monkeypatch.setattr(ta, "Groups", lambda a, *rest: seen.append(len(a)) or made(a, *rest))
+    n_a = aligner.figures(["tokenization internationalization " * 400, "of tokenization"])["n_a"].to_pylist()
+    assert sum(n_a) > 800 and sum(seen) < 50
+
+
+def test_a_piece_that_is_not_faithful_leaves_its_text_without_tokens(spark, tools):
+    texts = ["good words and ▁x here", "good words", "▁x", "a ﬁ b c", "a Å b"]
+    assert align(spark, texts) == brute(texts, tools)
