@@ -87,7 +87,15 @@ def tower_with_dense(
 def with_pair_vectors(
     pairs: DataFrame, users: DataFrame, items: DataFrame, user="user_id", item="product_id", how="inner"
 ) -> DataFrame:
-    """Pairs joined to both vector tables; pairs with an unknown id are dropped, or kept with nulls (``left``)."""
+    """Pairs joined to both vector tables; pairs with an unknown id are dropped, or kept with nulls (``left``).
+
+    Pairs and vectors meet in tiles, and vectors stand in the rows only as these leave a task. Streams, ids that aren't
+    whole numbers and vectors that aren't doubles are joined.
+    """
+    names = ("user_vector", "item_vector")
+    kinds = {dict(v.dtypes)["embedding"] for v in (users, items)}
+    if kinds == {"array<double>"} and pair_scores.fits(pairs, users, items, user, item, how):
+        return pair_scores.with_vectors(pairs, users, items, user, item, how, names)
     return pairs.join(users.select(user, F.col("embedding").alias("user_vector")), [user], how).join(
         items.select(item, F.col("embedding").alias("item_vector")), [item], how
     )
